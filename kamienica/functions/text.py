@@ -103,7 +103,7 @@ def map_words(col: Column, words: Mapping[str, str | None]) -> Column:
     for word, result in words.items():
         by_result.setdefault(result, []).append(word)
     for result, same in by_result.items():
-        case = (case or F).when(col.isin(same), F.lit(result).cast("string"))
+        case = (F if case is None else case).when(col.isin(same), F.lit(result).cast("string"))
     return col if case is None else case.otherwise(col)
 
 
@@ -143,7 +143,7 @@ def keyword_value(text: Column, keyword_rules: Iterable[tuple[Iterable[str], str
         for n, keyword in enumerate(keywords):
             found = F.contains(text, F.lit(keyword))
             hit = found if n == 0 else hit | found
-        case = (case or F).when(hit, F.lit(value))
+        case = (F if case is None else case).when(hit, F.lit(value))
     return F.lit(None).cast("string") if case is None else case
 
 

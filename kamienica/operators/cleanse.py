@@ -55,13 +55,11 @@ def backfill_from_text(df: DataFrame, text_column: str,
 def tokens_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (),
                 separator: str = LIST_SEPARATOR) -> DataFrame:
     """One row per list entry: `keep` columns, `source`, `token`. A null list gives no row."""
-    entries = F.flatten(F.array(*[
-        F.transform(
-            F.coalesce(text.tokens(quoted(c), separator), F.array().cast("array<string>")),
-            lambda t, c=c: F.struct(F.lit(c).alias("source"), t.alias("token")),
-        )
-        for c in columns
-    ]))
+    def entries_of(column: str) -> Column:
+        entries = F.coalesce(text.tokens(quoted(column), separator), F.array().cast("array<string>"))
+        return F.transform(entries, lambda t: F.struct(F.lit(column).alias("source"), t.alias("token")))
+
+    entries = F.flatten(F.array(*[entries_of(c) for c in columns]))
     return df.select(*[quoted(k) for k in keep], F.explode(entries).alias("_entry")).select(
         *[quoted(k) for k in keep], "_entry.source", "_entry.token")
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from kamienica.operators.cleanse import quoted
 
 _HASH_SPACE = 2 ** 32
-_COLUMNS_PER_SCAN = 20
 
 
 def key_hash(key: Column, seed: int) -> Column:
@@ -56,43 +55,43 @@ def standard_scale(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return fit_scaling(df, columns).apply(df)
 
 
-def yeo_johnson(value: Column, power: float) -> Column:
-    """The Yeo-Johnson transform (2000) with a fixed power."""
-    grown = F.log1p(value) if abs(power) < 1e-12 else (F.pow(value + 1, F.lit(power)) - 1) / power
-    rest = 2 - power
-    shrunk = -F.log1p(-value) if abs(rest) < 1e-12 else -(F.pow(1 - value, F.lit(rest)) - 1) / rest
+def yeo_johnson(value: Column, power: Column | float) -> Column:
+    """The Yeo-Johnson transform (2000)."""
+    power = F.lit(power) if isinstance(power, (int, float)) else power
+    rest = F.lit(2.0) - power
+    grown = F.when(F.abs(power) < 1e-12, F.log1p(value)).otherwise((F.pow(value + 1, power) - 1) / power)
+    shrunk = F.when(F.abs(rest) < 1e-12, -F.log1p(-value)).otherwise(-(F.pow(1 - value, rest) - 1) / rest)
     return F.when(value >= 0, grown).otherwise(shrunk)
 
 
 def fit_powers(df: DataFrame, columns: Sequence[str], tolerance: float = 1e-5) -> dict[str, float]:
-    """Maximum-likelihood powers. Every pass scores a grid of powers for many columns in one aggregate and then
-    narrows each column's grid around its best."""
-    found: dict[str, float] = {}
-    for start in range(0, len(columns), _COLUMNS_PER_SCAN):
-        part = list(columns[start:start + _COLUMNS_PER_SCAN])
-        grids = {c: np.linspace(-4.0, 4.0, 17) for c in part}
-        while max(g[1] - g[0] for g in grids.values()) > tolerance:
-            row = df.agg(*[e for i, c in enumerate(part) for e in (
-                F.count(quoted(c)).alias(f"n{i}"),
-                F.sum(F.signum(quoted(c)) * F.log1p(F.abs(quoted(c)))).alias(f"l{i}"),
-                *[F.var_pop(yeo_johnson(quoted(c).cast("double"), float(p))).alias(f"v{i}_{j}")
-                  for j, p in enumerate(grids[c])])]).first()
-            for i, c in enumerate(part):
-                grid, score = grids[c], []
-                for j, power in enumerate(grid):
-                    variance = row[f"v{i}_{j}"]
-                    usable = variance is not None and 0 < variance < math.inf
-                    score.append(-row[f"n{i}"] / 2 * math.log(variance) + (power - 1) * row[f"l{i}"]
-                                 if usable else -math.inf)
-                best, step = int(np.argmax(score)), grid[1] - grid[0]
-                if max(score) == -math.inf:  # no spread: nothing to transform
-                    grids[c] = np.array([1.0, 1.0])
-                elif best in (0, len(grid) - 1):  # the optimum lies outside: move the window, same step
-                    grids[c] = grid[best] + step * (np.arange(len(grid)) - len(grid) // 2)
-                else:
-                    grids[c] = np.linspace(grid[best] - step, grid[best] + step, 17)
-        found.update({c: float(g[len(g) // 2]) for c, g in grids.items()})
-    return found
+    """Maximum-likelihood powers. Every pass scores a grid of powers for all columns, combined before the
+    shuffle to one row per column and power, and then narrows each column's grid around its best."""
+    grids = {c: np.linspace(-4.0, 4.0, 17) for c in columns}
+    while max(g[1] - g[0] for g in grids.values()) > tolerance:
+        tried = F.array(*[
+            F.struct(quoted(c).cast("double").alias("x"), F.lit(i).alias("i"), F.lit(j).alias("j"),
+                     F.lit(float(p)).alias("p"))
+            for i, c in enumerate(columns) for j, p in enumerate(grids[c])])
+        rows = (df.select(F.explode(tried).alias("t")).select("t.*").groupBy("i", "j").agg(
+            F.count("x").alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("logs"),
+            F.var_pop(yeo_johnson(F.col("x"), F.col("p"))).alias("variance")).collect())
+        scored = {(r["i"], r["j"]): r for r in rows}
+        for i, c in enumerate(columns):
+            grid, score = grids[c], []
+            for j, power in enumerate(grid):
+                row = scored[i, j]
+                usable = row["variance"] is not None and 0 < row["variance"] < math.inf
+                score.append(-row["n"] / 2 * math.log(row["variance"]) + (power - 1) * row["logs"]
+                             if usable else -math.inf)
+            best, step = int(np.argmax(score)), grid[1] - grid[0]
+            if max(score) == -math.inf:  # no spread: nothing to transform
+                grids[c] = np.array([1.0, 1.0])
+            elif best in (0, len(grid) - 1):  # the optimum lies outside: move the window, same step
+                grids[c] = grid[best] + step * (np.arange(len(grid)) - len(grid) // 2)
+            else:
+                grids[c] = np.linspace(grid[best] - step, grid[best] + step, 17)
+    return {c: float(g[len(g) // 2]) for c, g in grids.items()}
 
 
 def power_transform(df: DataFrame, powers: dict[str, float], standardise: bool = True) -> DataFrame:
