@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from kamienica.contract.registry import query, table
 from kamienica.operators import extract
+from kamienica.session import spread
 
 
 @query("page_links", """
@@ -131,7 +132,7 @@ def advert_pages(spark, folder):
         F.lit('<script id="__NEXT_DATA__" type="application/json">{"props": {"ad_id": 0, "page": {"ad_price": '), size,
         F.lit(', "other": 1, "security": ["a", "b"], "street": null}}, "ad_id": '), key,
         F.lit(', "poster_type": "'), "p_type", F.lit('"}</script></body></html>'))
-    return table(spark, folder, "part").select(
+    return spread(table(spark, folder, "part")).select(
         F.col("p_partkey").alias("page_id"), F.concat(F.lit("/ad/"), key).alias("url"), html.alias("html"))
 
 
@@ -162,4 +163,4 @@ def adverts_failed(spark, folder):
 
 @query("pages_routed", "SELECT page_id, url, 'failed' AS status, 'no address' AS error FROM pages")
 def pages_routed(spark, folder):
-    return extract.extract_adverts(table(spark, folder, "pages")).select("page_id", "url", "status", "error")
+    return extract.extract_adverts(spread(table(spark, folder, "pages"))).select("page_id", "url", "status", "error")

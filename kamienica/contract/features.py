@@ -106,7 +106,7 @@ _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem"
     for i, a in enumerate(_CORR) for b in _CORR[i + 1:]))
 def corr_pairs(spark, folder):
-    found = outliers.correlations(table(spark, folder, "lineitem"), _CORR)
+    found = outliers.correlations(table(spark, folder, "lineitem"), _CORR, pairs_per_scan=1)
     return spark.createDataFrame([(a, b, round(r, 6)) for (a, b), r in found.items()], "a string, b string, r double")
 
 

@@ -30,9 +30,11 @@ from kamienica.session import settle
 
 CELL_ROWS = 4096
 CHUNK_ROWS = 4096
-_FAN = 16
+_FAN = 64
 _ROOT = "r"
 _SLACK = 1 + 1e-9
+# Up to this width the quantiles of all dimensions are taken in the pass that measures the boxes.
+_NARROW = 4
 
 
 @dataclass
@@ -43,23 +45,51 @@ class _Level:
     boxes: DataFrame
 
 
+def _quantiles(value: Column) -> Column:
+    return F.percentile_approx(value, [i / _FAN for i in range(1, _FAN)], 1000)
+
+
 def _boxes(points: DataFrame, width: int) -> DataFrame:
-    bounds = points.groupBy("cell").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.min(F.col("point")[i]) for i in range(width)]).alias("low"),
-        F.array(*[F.max(F.col("point")[i]) for i in range(width)]).alias("high"))
+    """Size, bounds and widest dimension (`axis`) of every cell."""
+    at = [F.col("point")[i] for i in range(width)]
+    parts = [F.count(F.lit(1)).alias("n"), F.array(*[F.min(x) for x in at]).alias("low"),
+             F.array(*[F.max(x) for x in at]).alias("high")]
+    if width <= _NARROW:
+        parts.append(F.array(*[_quantiles(x) for x in at]).alias("quantiles"))
     spreads = F.zip_with("high", "low", lambda h, l: h - l)
-    return settle(bounds.withColumn("widest", F.array_max(spreads))
+    return settle(points.groupBy("cell").agg(*parts).withColumn("widest", F.array_max(spreads))
                         .withColumn("axis", (F.array_position(spreads, F.col("widest")) - 1).cast("int")))
 
 
+def _splits(points: DataFrame, crowded: DataFrame, width: int, cell_rows: int) -> DataFrame:
+    """(cell, axis, cuts) of cells that hold too many rows: quantiles of the widest dimension.
+
+    As many children as leave them half full. The midpoint is a cut as well, so that every split makes both
+    sides smaller, whatever the values are.
+    """
+    if width <= _NARROW:
+        measured = crowded.withColumn("q", F.get("quantiles", F.col("axis")))
+    else:
+        values = points.join(crowded.select("cell", "axis"), "cell").select(
+            "cell", F.get("point", F.col("axis")).alias("x"))
+        measured = crowded.join(values.groupBy("cell").agg(_quantiles(F.col("x")).alias("q")), "cell")
+    low, high = F.get("low", F.col("axis")), F.get("high", F.col("axis"))
+    middle = low / 2 + high / 2
+    middle = F.when(middle < high, F.greatest(middle, low)).otherwise(low)
+    children = F.least(F.ceil(F.col("n") * 2 / F.lit(cell_rows)), F.lit(_FAN))
+    every = F.greatest(F.floor(F.lit(_FAN) / children), F.lit(1))
+    chosen = F.filter("q", lambda _, i: (i + 1) % every == 0)
+    cuts = F.filter(F.array_distinct(F.concat(chosen, F.array(middle))), lambda c: c < high)
+    return measured.select("cell", "axis", cuts.alias("cuts"))
+
+
 def _to_child(points: DataFrame, splits: DataFrame) -> DataFrame:
     """Move points of split cells to the child they fall into; other points stay."""
     columns = points.columns
     child = F.size(F.filter("cuts", lambda cut: F.get("point", F.col("axis")) > cut))
     joined = points.join(splits, "cell", "left")
     path = F.when(F.col("cuts").isNull(), F.col("cell")).otherwise(
-        F.concat("cell", F.char(child + F.lit(ord("A")))))
+        F.concat("cell", F.char(child + F.lit(ord("0")))))
     return joined.withColumn("cell", path).select(*columns)
 
 
@@ -67,23 +97,12 @@ def _grow(donors: DataFrame, width: int, cell_rows: int) -> tuple[DataFrame, lis
     """Donors with their final cell, and the levels of the tree."""
     points = donors.withColumn("cell", F.lit(_ROOT))
     levels = [_Level(None, _boxes(points, width))]
-    shares = [i / _FAN for i in range(1, _FAN)]
     while True:
         crowded = levels[-1].boxes.where((F.col("n") > cell_rows) & (F.col("widest") > 0))
         if crowded.isEmpty():
             return points, levels
-        bounds = crowded.select("cell", "axis", F.get("low", F.col("axis")).alias("low"),
-                                F.get("high", F.col("axis")).alias("high"))
-        values = points.join(bounds, "cell").select("cell", "axis", "low", "high",
-                                                    F.get("point", F.col("axis")).alias("x"))
-        # The midpoint is a cut as well, so that every split makes both sides smaller.
-        middle = F.col("low") / 2 + F.col("high") / 2
-        middle = F.when(middle < F.col("high"), F.greatest(middle, "low")).otherwise(F.col("low"))
-        cuts = values.groupBy("cell", "axis", "low", "high").agg(
-            F.percentile_approx("x", shares, 1000).alias("q")).select(
-            "cell", "axis", F.filter(F.array_distinct(F.concat("q", F.array(middle))),
-                                     lambda c: c < F.col("high")).alias("cuts"))
-        splits = settle(cuts)
+        splits = _splits(points, crowded, width, cell_rows)
+        splits = splits if width <= _NARROW else settle(splits)
         points = _to_child(points, splits)
         levels.append(_Level(splits, _boxes(points, width)))
 

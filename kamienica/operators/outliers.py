@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from kamienica.operators.cleanse import quoted
 from kamienica.operators.profile import DISTINCT_LIMIT, exact_quantiles, numeric_columns
 
-_PAIRS_PER_SCAN = 200
+_PAIRS_PER_SCAN = 100
 
 
 def inside_iqr(df: DataFrame, column: str, distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
@@ -50,17 +50,18 @@ def drop_outliers(df: DataFrame, columns: Sequence[str], rounds: int, by_iqr: bo
     return df
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
+def correlations(df: DataFrame, columns: Sequence[str],
+                 pairs_per_scan: int = _PAIRS_PER_SCAN) -> dict[tuple[str, str], float | None]:
     """Pearson correlation of every pair, in column order; rows with a null in a pair are left out of it.
 
-    Without nulls one Gram matrix gives all pairs in a single pass. With nulls each pair has its own rows, so
-    the pairs are aggregated side by side.
+    Few pairs are aggregated side by side in one scan. For many, one Gram matrix gives all of them in a single
+    pass if there are no nulls; with nulls each pair has its own rows, and the pairs are aggregated in parts.
     """
     pairs = list(combinations(columns, 2))
     if not pairs:
         return {}
-    nulls = df.agg(F.count_if(F.greatest(*[quoted(c).isNull() for c in columns])).alias("n")).first()["n"]
-    if nulls == 0 and len(pairs) > 1:
+    many = len(pairs) > pairs_per_scan
+    if many and df.where(F.greatest(*[quoted(c).isNull() for c in columns])).isEmpty():
         doubles = df.select(*[quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
         vectors = VectorAssembler(inputCols=doubles.columns, outputCol="v").transform(doubles)
         matrix = Correlation.corr(vectors, "v").first()[0].toArray()
@@ -68,8 +69,8 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str],
         return {(a, b): None if matrix[place[a], place[b]] != matrix[place[a], place[b]]
                 else float(matrix[place[a], place[b]]) for a, b in pairs}
     found: dict[tuple[str, str], float | None] = {}
-    for start in range(0, len(pairs), _PAIRS_PER_SCAN):
-        part = pairs[start:start + _PAIRS_PER_SCAN]
+    for start in range(0, len(pairs), pairs_per_scan):
+        part = pairs[start:start + pairs_per_scan]
         row = df.agg(*[F.corr(quoted(a).cast("double"), quoted(b).cast("double")).alias(f"r{i}")
                        for i, (a, b) in enumerate(part)]).first()
         found.update({pair: row[f"r{i}"] for i, pair in enumerate(part)})

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame
@@ -64,34 +65,68 @@ def yeo_johnson(value: Column, power: Column | float) -> Column:
     return F.when(value >= 0, grown).otherwise(shrunk)
 
 
-def fit_powers(df: DataFrame, columns: Sequence[str], tolerance: float = 1e-5) -> dict[str, float]:
+def _yeo_johnson_array(x: np.ndarray, power: float) -> np.ndarray:
+    grown, shrunk = np.maximum(x, 0), np.maximum(-x, 0)
+    up = np.log1p(grown) if abs(power) < 1e-12 else np.expm1(power * np.log1p(grown)) / power
+    rest = 2 - power
+    down = np.log1p(shrunk) if abs(rest) < 1e-12 else np.expm1(rest * np.log1p(shrunk)) / rest
+    return up - down
+
+
+def _power_moments(values: DataFrame, grids: Sequence[np.ndarray]) -> DataFrame:
+    """Count, log term and variance of every column under every power of its grid.
+
+    Each batch of rows becomes one row of moments per column and power; Spark adds those up.
+    """
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for i, grid in enumerate(grids):
+                x = batch[f"x{i}"].dropna().to_numpy()
+                if len(x):
+                    logs = float(np.sum(np.sign(x) * np.log1p(np.abs(x))))
+                    for j, power in enumerate(grid):
+                        y = _yeo_johnson_array(x, power)
+                        rows.append((i, j, len(x), logs, float(y.mean()), float(y.var() * len(x))))
+            yield pd.DataFrame(rows, columns=["i", "j", "n", "logs", "mean", "m2"])
+
+    parts = values.mapInPandas(moments, "i int, j int, n bigint, logs double, mean double, m2 double")
+    return parts.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.sum("logs").alias("logs"),
+        ((F.sum("m2") + F.sum(F.col("n") * F.col("mean") * F.col("mean"))
+          - F.sum(F.col("n") * F.col("mean")) * F.sum(F.col("n") * F.col("mean")) / F.sum("n"))
+         / F.sum("n")).alias("variance"))
+
+
+def fit_powers(df: DataFrame, columns: Sequence[str], step: float = 1e-3) -> dict[str, float]:
     """Maximum-likelihood powers. Every pass scores a grid of powers for all columns, combined before the
-    shuffle to one row per column and power, and then narrows each column's grid around its best."""
+    shuffle to one row per column and power, and then narrows each column's grid around its best. From the
+    finest grid, of at most `step`, the top of the parabola through the best three is taken."""
     grids = {c: np.linspace(-4.0, 4.0, 17) for c in columns}
-    while max(g[1] - g[0] for g in grids.values()) > tolerance:
-        tried = F.array(*[
-            F.struct(quoted(c).cast("double").alias("x"), F.lit(i).alias("i"), F.lit(j).alias("j"),
-                     F.lit(float(p)).alias("p"))
-            for i, c in enumerate(columns) for j, p in enumerate(grids[c])])
-        rows = (df.select(F.explode(tried).alias("t")).select("t.*").groupBy("i", "j").agg(
-            F.count("x").alias("n"), F.sum(F.signum("x") * F.log1p(F.abs("x"))).alias("logs"),
-            F.var_pop(yeo_johnson(F.col("x"), F.col("p"))).alias("variance")).collect())
-        scored = {(r["i"], r["j"]): r for r in rows}
+    fitted = dict.fromkeys(columns, 1.0)
+    values = df.select(*[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    while max(g[1] - g[0] for g in grids.values()) > 0:
+        scored = {(r["i"], r["j"]): r for r in _power_moments(values, list(grids.values())).collect()}
         for i, c in enumerate(columns):
             grid, score = grids[c], []
             for j, power in enumerate(grid):
-                row = scored[i, j]
-                usable = row["variance"] is not None and 0 < row["variance"] < math.inf
+                row = scored.get((i, j))
+                usable = row is not None and row["variance"] is not None and 0 < row["variance"] < math.inf
                 score.append(-row["n"] / 2 * math.log(row["variance"]) + (power - 1) * row["logs"]
                              if usable else -math.inf)
-            best, step = int(np.argmax(score)), grid[1] - grid[0]
+            best, width = int(np.argmax(score)), grid[1] - grid[0]
             if max(score) == -math.inf:  # no spread: nothing to transform
                 grids[c] = np.array([1.0, 1.0])
             elif best in (0, len(grid) - 1):  # the optimum lies outside: move the window, same step
-                grids[c] = grid[best] + step * (np.arange(len(grid)) - len(grid) // 2)
-            else:
-                grids[c] = np.linspace(grid[best] - step, grid[best] + step, 17)
-    return {c: float(g[len(g) // 2]) for c, g in grids.items()}
+                grids[c] = grid[best] + width * (np.arange(len(grid)) - len(grid) // 2)
+            elif width > step:
+                grids[c] = np.linspace(grid[best] - width, grid[best] + width, 17)
+            elif width > 0:
+                left, top, right = score[best - 1:best + 2]
+                bend = left - 2 * top + right
+                fitted[c] = float(grid[best] + (width * (left - right) / (2 * bend) if bend else 0.0))
+                grids[c] = np.array([fitted[c]] * 2)
+    return fitted
 
 
 def power_transform(df: DataFrame, powers: dict[str, float], standardise: bool = True) -> DataFrame:
