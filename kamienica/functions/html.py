@@ -12,9 +12,10 @@ from html import unescape
 
 from kamienica.functions import rules
 
-_ATTRIBUTES = r"""((?:"[^"]*"|'[^']*'|[^>"']++)*+)"""
+# A quote opens a value only after `=`; elsewhere it is a stray character. A tag cut off by the end is a tag.
+_ATTRIBUTES = r"""((?:=\s*+(?:"[^"]*"|'[^']*')|[^>=]++|=)*+)"""
 _TOKEN = re.compile(
-    rf"<(?:([a-z][^\s/>]*+){_ATTRIBUTES}>|/([a-z][^\s>/]*+)[^>]*>|!--.*?(?:-->|\Z)|[!?][^>]*>)", re.S | re.I)
+    rf"<(?:([a-z][^\s/>]*+){_ATTRIBUTES}(?:>|\Z)|/([a-z][^\s>/]*+)[^>]*+(?:>|\Z)|!--.*?(?:-->|\Z)|[!?][^>]*+(?:>|\Z))", re.S | re.I)
 _RAW_END = {tag: re.compile(rf"</{tag}\s*>|\Z", re.I) for tag in ("script", "style")}
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -81,7 +82,8 @@ class AdvertParts:
     def _start_tag(self, tag, attributes):
         if tag in _IMPLIED:
             self._close_implied(*_IMPLIED[tag])
-        wanted = tag == "p" or "data-" in attributes or "aria-label" in attributes
+        names = attributes.lower()
+        wanted = tag == "p" or "data-" in names or "aria-label" in names
         given = _attributes(attributes) if wanted else {}
         buffers = self._buffers_for(tag, given) if wanted else []
         if tag not in _VOID:

@@ -11,7 +11,7 @@ from itertools import combinations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kamienica.operators.cleanse import quoted
@@ -50,6 +50,12 @@ def drop_outliers(df: DataFrame, columns: Sequence[str], rounds: int, by_iqr: bo
     return df
 
 
+def _pearson(a: Column, b: Column) -> Column:
+    """Correlation over rows that have both; null without spread, where `corr` would raise in ANSI mode."""
+    spreads = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
+    return F.try_divide(F.covar_pop(a, b), spreads)
+
+
 def correlations(df: DataFrame, columns: Sequence[str],
                  pairs_per_scan: int = _PAIRS_PER_SCAN) -> dict[tuple[str, str], float | None]:
     """Pearson correlation of every pair, in column order; rows with a null in a pair are left out of it.
@@ -71,7 +77,7 @@ def correlations(df: DataFrame, columns: Sequence[str],
     found: dict[tuple[str, str], float | None] = {}
     for start in range(0, len(pairs), pairs_per_scan):
         part = pairs[start:start + pairs_per_scan]
-        row = df.agg(*[F.corr(quoted(a).cast("double"), quoted(b).cast("double")).alias(f"r{i}")
+        row = df.agg(*[_pearson(quoted(a).cast("double"), quoted(b).cast("double")).alias(f"r{i}")
                        for i, (a, b) in enumerate(part)]).first()
         found.update({pair: row[f"r{i}"] for i, pair in enumerate(part)})
     return found

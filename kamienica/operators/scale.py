@@ -73,10 +73,11 @@ def _yeo_johnson_array(x: np.ndarray, power: float) -> np.ndarray:
     return up - down
 
 
-def _power_moments(values: DataFrame, grids: Sequence[np.ndarray]) -> DataFrame:
+def _power_moments(values: DataFrame, grids: Sequence[np.ndarray], means: Sequence[float]) -> DataFrame:
     """Count, log term and variance of every column under every power of its grid.
 
-    Each batch of rows becomes one row of moments per column and power; Spark adds those up.
+    Each batch of rows becomes one row of moments per column and power; Spark adds those up. Values are taken
+    relative to the transformed mean, so that the sums do not cancel.
     """
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -86,7 +87,7 @@ def _power_moments(values: DataFrame, grids: Sequence[np.ndarray]) -> DataFrame:
                 if len(x):
                     logs = float(np.sum(np.sign(x) * np.log1p(np.abs(x))))
                     for j, power in enumerate(grid):
-                        y = _yeo_johnson_array(x, power)
+                        y = _yeo_johnson_array(x, power) - _yeo_johnson_array(means[i], power)
                         rows.append((i, j, len(x), logs, float(y.mean()), float(y.var() * len(x))))
             yield pd.DataFrame(rows, columns=["i", "j", "n", "logs", "mean", "m2"])
 
@@ -102,12 +103,17 @@ def fit_powers(df: DataFrame, columns: Sequence[str], step: float = 1e-3) -> dic
     """Maximum-likelihood powers. Every pass scores a grid of powers for all columns, combined before the
     shuffle to one row per column and power, and then narrows each column's grid around its best. From the
     finest grid, of at most `step`, the top of the parabola through the best three is taken."""
-    grids = {c: np.linspace(-4.0, 4.0, 17) for c in columns}
     fitted = dict.fromkeys(columns, 1.0)
-    values = df.select(*[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
-    while max(g[1] - g[0] for g in grids.values()) > 0:
-        scored = {(r["i"], r["j"]): r for r in _power_moments(values, list(grids.values())).collect()}
-        for i, c in enumerate(columns):
+    row = df.agg(*[e for i, c in enumerate(columns) for e in (
+        F.min(quoted(c)).alias(f"a{i}"), F.max(quoted(c)).alias(f"z{i}"), F.avg(quoted(c)).alias(f"m{i}"))]).first()
+    # a column without spread has nothing to transform
+    means = {c: float(row[f"m{i}"]) for i, c in enumerate(columns) if row[f"a{i}"] != row[f"z{i}"]}
+    grids = {c: np.linspace(-4.0, 4.0, 17) for c in means}
+    values = df.select(*[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(means)])
+    while any(g[1] > g[0] for g in grids.values()):
+        scored = {(r["i"], r["j"]): r
+                  for r in _power_moments(values, list(grids.values()), list(means.values())).collect()}
+        for i, c in enumerate(means):
             grid, score = grids[c], []
             for j, power in enumerate(grid):
                 row = scored.get((i, j))
@@ -115,9 +121,7 @@ def fit_powers(df: DataFrame, columns: Sequence[str], step: float = 1e-3) -> dic
                 score.append(-row["n"] / 2 * math.log(row["variance"]) + (power - 1) * row["logs"]
                              if usable else -math.inf)
             best, width = int(np.argmax(score)), grid[1] - grid[0]
-            if max(score) == -math.inf:  # no spread: nothing to transform
-                grids[c] = np.array([1.0, 1.0])
-            elif best in (0, len(grid) - 1):  # the optimum lies outside: move the window, same step
+            if best in (0, len(grid) - 1):  # the optimum lies outside: move the window, same step
                 grids[c] = grid[best] + width * (np.arange(len(grid)) - len(grid) // 2)
             elif width > step:
                 grids[c] = np.linspace(grid[best] - width, grid[best] + width, 17)
