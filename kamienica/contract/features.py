@@ -1,5 +1,6 @@
 """Encoders, outliers, correlation, neighbours, scaling, split and PCA."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from kamienica.contract.profiling import FIRST_SEEN_SQL
@@ -233,3 +234,24 @@ def features_built(spark, folder):
     built = build_features(rows, FeatureConfig(
         key="c_custkey", target="price", impute_on=["latitude", "price"], encoding="ordinal", pca=True))
     return built.train.unionByName(built.test).select("c_custkey", "label")
+
+
+@query("features_scaled", """
+    WITH z AS (SELECT * FROM orders, (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS d FROM orders)
+               WHERE abs((o_totalprice - m) / d) < 3),
+         y AS (SELECT z.* FROM z, (SELECT avg(o_custkey) AS cm, stddev_pop(o_custkey) AS cd FROM z)
+               WHERE abs((o_custkey - cm) / cd) < 3),
+         s AS (SELECT avg(o_custkey) AS sm, stddev_pop(o_custkey) AS sd FROM y)
+    SELECT o_orderkey, o_totalprice AS label, round((o_custkey - sm) / sd, 6) AS customer,
+           (o_orderstatus = 'O')::DOUBLE AS status_o, (o_orderstatus = 'P')::DOUBLE AS status_p,
+           ('0x' || substr(md5(o_orderkey || ':123'), 1, 8))::BIGINT < 858993459 AS is_test FROM y, s""")
+def features_scaled(spark, folder):
+    """The composite step without neighbours: outliers, scaling, indicators, split."""
+    rows = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus")
+    built = build_features(rows, FeatureConfig(key="o_orderkey", target="o_totalprice", impute=None))
+    place = {c: i for i, c in enumerate(built.columns)}
+    both = built.train.withColumn("is_test", F.lit(False)).unionByName(built.test.withColumn("is_test", F.lit(True)))
+    value = vector_to_array("features")
+    return both.select(
+        "o_orderkey", "label", F.round(value[place["o_custkey"]], 6).alias("customer"),
+        value[place["o_orderstatus_O"]].alias("status_o"), value[place["o_orderstatus_P"]].alias("status_p"), "is_test")

@@ -72,7 +72,7 @@ def _number_sql(c):
 
 
 def _text_sql(c):
-    return f"""SELECT '{c}', sum(n)::BIGINT, count(*), arg_min({c}, (-n, {c})), max(n), NULL, NULL, NULL, NULL, NULL,
+    return f"""SELECT '{c}', sum(n)::BIGINT, count(*), arg_min({c}, (-n, md5({c}))), max(n), NULL, NULL, NULL, NULL, NULL,
         NULL, NULL FROM (SELECT {c}, count(*) AS n FROM events GROUP BY 1)"""
 
 

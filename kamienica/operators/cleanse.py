@@ -116,6 +116,15 @@ def multi_hot(df: DataFrame, columns: Sequence[str], vocabulary: Sequence[tuple[
 
 def token_counts(df: DataFrame, key: str, columns: Sequence[str],
                  separator: str = LIST_SEPARATOR) -> DataFrame:
-    """Token counts in long form, for vocabularies of any width: key, source, token, n."""
-    return (tokens_long(df, columns, [key], separator)
-            .groupBy(key, "source", "token").agg(F.count(F.lit(1)).alias("n")))
+    """Token counts in long form, for vocabularies of any width: key, source, token, n.
+
+    `key` identifies a row; its tokens are counted inside the row, so nothing is shuffled.
+    """
+    def counts_of(column: str) -> Column:
+        entries = F.coalesce(text.tokens(quoted(column), separator), F.array().cast("array<string>"))
+        return F.transform(F.array_distinct(entries), lambda t: F.struct(
+            F.lit(column).alias("source"), t.alias("token"),
+            (F.size(entries) - F.size(F.array_remove(entries, t))).cast("bigint").alias("n")))
+
+    counts = F.flatten(F.array(*[counts_of(c) for c in columns]))
+    return df.select(quoted(key), F.inline(counts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -134,40 +134,49 @@ def _ranked_values(df: DataFrame, targets: list[dict], distinct_limit: int) -> l
     return [by_target[k] for k in range(len(targets))]
 
 
+def _number_rows(df: DataFrame, columns: Sequence[str], distinct_limit: int) -> DataFrame:
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], distinct_limit)
+    moments = df.agg(*[e for i, c in enumerate(columns) for e in (
+        F.count(quoted(c)).alias(f"n{i}"), F.avg(quoted(c)).alias(f"m{i}"), F.stddev(quoted(c)).alias(f"s{i}"),
+        F.min(quoted(c)).cast("double").alias(f"a{i}"), F.max(quoted(c)).cast("double").alias(f"z{i}"))])
+    return long_form(moments, {c: {
+        "count": F.col(f"n{i}"), "mean": F.col(f"m{i}"), "std": F.col(f"s{i}"), "min": F.col(f"a{i}"),
+        **{name: F.lit(q).cast("double") for name, q in zip(("q25", "q50", "q75"), quartiles[c])},
+        "max": F.col(f"z{i}")} for i, c in enumerate(columns)})
+
+
+def _text_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Values are counted by their digest, so that a shuffle moves 16 bytes per value however long the texts
+    are; the text of the most frequent digest is then looked up, one constant per column."""
+    digests = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.unhex(F.md5(quoted(c))).alias("digest")) for i, c in enumerate(columns)
+    ])).alias("e")).select("e.*").where(F.col("digest").isNotNull())
+    counted = digests.groupBy("i", "digest").agg(F.count(F.lit(1)).alias("n"))
+    tops = {r["i"]: r for r in counted.groupBy("i").agg(
+        F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"),
+        F.min_by("digest", F.struct(-F.col("n"), F.col("digest"))).alias("top")).collect()}
+    texts = df.agg(*[
+        F.first(F.when(F.unhex(F.md5(quoted(c))) == F.lit(bytes(tops[i]["top"])), quoted(c)), ignorenulls=True)
+        .alias(f"t{i}") if i in tops else F.lit(None).cast("string").alias(f"t{i}") for i, c in enumerate(columns)])
+    return long_form(texts, {c: {
+        "count": F.lit(tops[i]["count"] if i in tops else 0), "unique": F.lit(tops[i]["unique"] if i in tops else 0),
+        "top": F.col(f"t{i}"), "freq": F.lit(tops[i]["freq"] if i in tops else None).cast("bigint")}
+        for i, c in enumerate(columns)})
+
+
 def describe_all(df: DataFrame, distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
     """One row per column: count for all; unique, top, freq for text; mean, std, quartiles for numbers.
 
-    Of equally frequent values the smallest is `top`. Quartiles are exact.
+    Quartiles are exact. Of equally frequent values the one with the lowest MD5 digest is `top`.
     """
-    spark = df.sparkSession
+    wanted = T._parse_datatype_string(
+        "column string, count bigint, unique bigint, top string, freq bigint, mean double, std double, "
+        "min double, q25 double, q50 double, q75 double, max double")
     numbers, texts = numeric_columns(df), text_columns(df)
-    schema = ("column string, count bigint, unique bigint, top string, freq bigint, mean double, std double, "
-              "min double, q25 double, q50 double, q75 double, max double")
-    parts = []
-    if numbers:
-        quartiles = exact_quantiles(df, numbers, [0.25, 0.5, 0.75], distinct_limit)
-        moments = df.agg(*[e for i, c in enumerate(numbers) for e in (
-            F.count(quoted(c)).alias(f"n{i}"), F.avg(quoted(c)).alias(f"m{i}"),
-            F.stddev(quoted(c)).alias(f"s{i}"), F.min(quoted(c)).cast("double").alias(f"a{i}"),
-            F.max(quoted(c)).cast("double").alias(f"z{i}"))])
-        parts.append(long_form(moments, {c: {
-            "count": F.col(f"n{i}"), "mean": F.col(f"m{i}"), "std": F.col(f"s{i}"), "min": F.col(f"a{i}"),
-            **{name: F.lit(q).cast("double") for name, q in zip(("q25", "q50", "q75"), quartiles[c])},
-            "max": F.col(f"z{i}")} for i, c in enumerate(numbers)}))
-    if texts:
-        values = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("column"), quoted(c).alias("value")) for c in texts])).alias("e"))
-        counted = (values.select("e.*").where(F.col("value").isNotNull())
-                         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")))
-        tops = counted.groupBy("column").agg(
-            F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"),
-            F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"), F.max("n").alias("freq"))
-        # a column without any value still gets its row
-        names = spark.createDataFrame([Row(column=c) for c in texts], "column string")
-        parts.append(names.join(tops, "column", "left").withColumns({
-            "count": F.coalesce("count", F.lit(0)), "unique": F.coalesce("unique", F.lit(0))}))
+    parts = ([_number_rows(df, numbers, distinct_limit)] if numbers else []) + ([_text_rows(df, texts)] if texts else [])
+    if not parts:
+        return df.sparkSession.createDataFrame([], wanted)
     result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
-    wanted = T._parse_datatype_string(schema)
     return result.select(*[
         (F.col(f.name) if f.name in result.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in wanted.fields])
