@@ -31,6 +31,8 @@ from kamienica.session import settle
 CELL_ROWS = 4096
 CHUNK_ROWS = 4096
 _FAN = 64
+# Cells up to this number are counted in a table of a few megabytes, which every executor may hold.
+_FEW_CELLS = 100_000
 _ROOT = "r"
 _SLACK = 1 + 1e-9
 # Up to this width the quantiles of all dimensions are taken in the pass that measures the boxes.
@@ -95,7 +97,7 @@ def _to_child(points: DataFrame, splits: DataFrame) -> DataFrame:
 
 def _grow(donors: DataFrame, width: int, cell_rows: int) -> tuple[DataFrame, list[_Level]]:
     """Donors with their final cell, and the levels of the tree."""
-    points = donors.withColumn("cell", F.lit(_ROOT))
+    points = donors
     levels = [_Level(None, _boxes(points, width))]
     while True:
         crowded = levels[-1].boxes.where((F.col("n") > cell_rows) & (F.col("widest") > 0))
@@ -126,11 +128,13 @@ def _nearest_edge(width: int) -> Column:
                                    F.col("point")[i] - F.col("high")[i], F.lit(0.0)) for i in range(width)])
 
 
-def _search(visits: DataFrame, donors: DataFrame, width: int, k: int, query_type: T.DataType) -> DataFrame:
+def _search(visits: DataFrame, donors: DataFrame, width: int, k: int, few_cells: bool) -> DataFrame:
     """The k nearest donors of the visited cell, for every (query, cell) of `visits`."""
     axes = [f"x{i}" for i in range(width)]
     flat = [F.col("point")[i].alias(x) for i, x in enumerate(axes)]  # plain columns cross to Python faster
     chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
+    if few_cells:
+        chunks = F.broadcast(chunks)
     asked = visits.select("query", "cell", *flat).join(chunks, "cell").withColumn(
         "chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int")).drop("chunks")
     offered = donors.join(chunks, "cell").select(
@@ -163,7 +167,8 @@ def _search(visits: DataFrame, donors: DataFrame, width: int, k: int, query_type
         return pd.concat(found)
 
     schema = T.StructType([
-        T.StructField("query", query_type), T.StructField("donor", donors.schema["donor"].dataType),
+        T.StructField("query", visits.schema["query"].dataType),
+        T.StructField("donor", donors.schema["donor"].dataType),
         T.StructField("value", T.DoubleType()), T.StructField("d2", T.DoubleType())])
     return asked.groupBy("cell", "chunk").cogroup(offered.groupBy("cell", "chunk")).applyInPandas(
         nearest_in_cell, schema)
@@ -176,17 +181,20 @@ def nearest(queries: DataFrame, donors: DataFrame, width: int, k: int = 5,
     queries(query, point), donors(donor, point, value); `point` is an array<double> of `width` numbers without
     nulls, keys are unique. Returns (query, donor, value, distance, place), place from 1.
     """
-    query_type = queries.schema["query"].dataType
-    queries = queries.select("query", F.col("point").cast("array<double>").alias("point"))
+    # Both tables are written with their first cell: as a stored column it stays a join key, where a constant
+    # would turn the joins below into cross joins.
+    queries = settle(queries.select("query", F.col("point").cast("array<double>").alias("point"),
+                                    F.lit(_ROOT).alias("cell")))
     # Of donors at one and the same point only the k lowest keys can ever be chosen.
     same_point = Window.partitionBy("point").orderBy("donor")
     donors = settle(donors.select("donor", F.col("point").cast("array<double>").alias("point"),
-                                  F.col("value").cast("double").alias("value"))
+                                  F.col("value").cast("double").alias("value"), F.lit(_ROOT).alias("cell"))
                     .withColumn("_nth", F.row_number().over(same_point)).where(F.col("_nth") <= k).drop("_nth"))
     placed, levels = _grow(donors, width, max(cell_rows, k))
+    few_cells = len(levels) == 1 or levels[-1].boxes.count() <= _FEW_CELLS
 
     # Down the tree to the query's own cell; the smallest box with k donors bounds the distance.
-    own = queries.withColumn("cell", F.lit(_ROOT)).withColumn("limit2", F.lit(float("inf")))
+    own = queries.withColumn("limit2", F.lit(float("inf")))
     for level in levels:
         if level.splits is not None:
             own = _to_child(own, level.splits)
@@ -194,13 +202,15 @@ def nearest(queries: DataFrame, donors: DataFrame, width: int, k: int = 5,
         own = own.join(box, "cell", "left").withColumn(
             "limit2", F.when(F.col("n") >= k, F.least("limit2", _farthest(width))).otherwise(F.col("limit2"))
         ).drop("n", "low", "high")
-    found = _search(own, placed, width, k, query_type)
+    if len(levels) > 2:
+        own = settle(own)
+    found = _search(own, placed, width, k, few_cells)
 
     if len(levels) > 1:
-        own, found = settle(own), settle(found)
+        found = settle(found)
         reached = found.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.max("d2").alias("d2"))
         alive = own.join(reached, "query", "left").select(
-            "query", "point", F.col("cell").alias("own"), F.lit(_ROOT).alias("cell"),
+            "query", "point", F.col("cell").alias("own"), F.substring("cell", 1, 1).alias("cell"),
             (F.when(F.col("n") >= k, F.least("limit2", "d2")).otherwise(F.col("limit2")) * _SLACK).alias("limit2"))
         for depth, level in enumerate(levels[1:], start=1):
             parent = F.when(F.length("cell") > depth, F.expr(f"left(cell, {depth})")).otherwise(F.col("cell"))
@@ -209,7 +219,7 @@ def nearest(queries: DataFrame, donors: DataFrame, width: int, k: int = 5,
                           .where(_nearest_edge(width) <= F.col("limit2"))
                           .select("query", "point", "own", F.col("next").alias("cell"), "limit2"))
         visits = settle(alive.where(F.col("cell") != F.col("own")))
-        found = found.unionByName(_search(visits, placed, width, k, query_type))
+        found = found.unionByName(_search(visits, placed, width, k, few_cells))
 
     best = Window.partitionBy("query").orderBy("d2", "donor")
     return (found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)

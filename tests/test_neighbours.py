@@ -32,9 +32,9 @@ def clouds(kind, n, width, seed):
 
 
 @pytest.mark.parametrize("kind", ["uniform", "hot", "outlier", "indicator"])
-@pytest.mark.parametrize("cell_rows", [8, 100000])
+@pytest.mark.parametrize("cell_rows", [16, 100000])
 def test_equals_brute_force(spark, kind, cell_rows):
-    have, ask = clouds(kind, 300, 3, 1), clouds(kind, 90, 3, 2)
+    have, ask = clouds(kind, 240, 3, 1), clouds(kind, 60, 3, 2)
     donors = [(i, [float(x) for x in p]) for i, p in enumerate(have)]
     queries = [(i, [float(x) for x in p]) for i, p in enumerate(ask)]
     q = spark.createDataFrame(queries, "query bigint, point array<double>")
