@@ -199,11 +199,20 @@ def power_transform(spark, folder):
     return changed.withColumn("c_acctbal", F.round("c_acctbal", 6))
 
 
-@query("power_fit")
+def _power_sql(column):
+    """The best power on a grid of hundredths."""
+    y = """CASE WHEN x >= 0 THEN CASE WHEN p = 0 THEN ln(x + 1) ELSE (pow(x + 1, p) - 1) / p END
+        ELSE CASE WHEN p = 2 THEN -ln(1 - x) ELSE -(pow(1 - x, 2 - p) - 1) / (2 - p) END END"""
+    return f"""SELECT '{column}' AS column, arg_max(p, score) AS power FROM (
+        SELECT p, -count(*) / 2 * ln(var_pop({y})) + (p - 1) * sum(sign(x) * ln(abs(x) + 1)) AS score
+        FROM (SELECT {column}::DOUBLE AS x FROM events), (SELECT unnest(range(-100, 201)) / 100 AS p) GROUP BY p)"""
+
+
+@query("power_fit", _power_sql("value") + " UNION ALL " + _power_sql("user_id"))
 def power_fit(spark, folder):
     events = table(spark, folder, "events")
     powers = scale.fit_powers(events, ["value", "user_id"])
-    return spark.createDataFrame(list(powers.items()), "column string, power double")
+    return spark.createDataFrame([(c, round(p, 2)) for c, p in powers.items()], "column string, power double")
 
 
 @query("hash_split", """
@@ -213,6 +222,19 @@ def hash_split(spark, folder):
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
 
 
+@query("pca_ratio", """
+    WITH t AS (SELECT l_quantity AS x, l_quantity + l_tax * 200 AS y FROM lineitem
+               WHERE ('0x' || substr(md5(l_orderkey || ':123'), 1, 8))::BIGINT >= 858993459),
+         c AS (SELECT var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS d FROM t)
+    SELECT round((a + d + sqrt((a - d) * (a - d) + 4 * b * b)) / 2 / (a + d), 6) AS first_ratio FROM c""")
+def pca_ratio(spark, folder):
+    rows = table(spark, folder, "lineitem").withColumn("mixed", F.col("l_quantity") + F.col("l_tax") * 200)
+    train, test = scale.hash_split(rows, "l_orderkey")
+    train, test = (scale.assemble(df, ["l_quantity", "mixed"], "l_tax", ["l_orderkey"]) for df in (train, test))
+    ratios = scale.pca_to_variance(train, test)[2]
+    return spark.createDataFrame([(round(ratios[0], 6),)], "first_ratio double")
+
+
 @query("pca_variance")
 def pca_variance(spark, folder):
     columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "doubled"]

@@ -95,15 +95,17 @@ def _to_child(points: DataFrame, splits: DataFrame) -> DataFrame:
     return joined.withColumn("cell", path).select(*columns)
 
 
-def _grow(donors: DataFrame, width: int, cell_rows: int) -> tuple[DataFrame, list[_Level]]:
-    """Donors with their final cell, and the levels of the tree."""
+def _grow(donors: DataFrame, width: int, cell_rows: int) -> tuple[DataFrame, list[_Level], int]:
+    """Donors with their final cell, the levels of the tree, and the number of cells."""
     points = donors
     levels = [_Level(None, _boxes(points, width))]
+    too_many = (F.col("n") > cell_rows) & (F.col("widest") > 0)
     while True:
-        crowded = levels[-1].boxes.where((F.col("n") > cell_rows) & (F.col("widest") > 0))
-        if crowded.isEmpty():
-            return points, levels
-        splits = _splits(points, crowded, width, cell_rows)
+        boxes = levels[-1].boxes
+        cells, crowded = boxes.agg(F.count(F.lit(1)), F.count_if(too_many)).first()
+        if not crowded:
+            return points, levels, cells
+        splits = _splits(points, boxes.where(too_many), width, cell_rows)
         splits = splits if width <= _NARROW else settle(splits)
         points = _to_child(points, splits)
         levels.append(_Level(splits, _boxes(points, width)))
@@ -190,8 +192,8 @@ def nearest(queries: DataFrame, donors: DataFrame, width: int, k: int = 5,
     donors = settle(donors.select("donor", F.col("point").cast("array<double>").alias("point"),
                                   F.col("value").cast("double").alias("value"), F.lit(_ROOT).alias("cell"))
                     .withColumn("_nth", F.row_number().over(same_point)).where(F.col("_nth") <= k).drop("_nth"))
-    placed, levels = _grow(donors, width, max(cell_rows, k))
-    few_cells = len(levels) == 1 or levels[-1].boxes.count() <= _FEW_CELLS
+    placed, levels, cells = _grow(donors, width, max(cell_rows, k))
+    few_cells = cells <= _FEW_CELLS
 
     # Down the tree to the query's own cell; the smallest box with k donors bounds the distance.
     own = queries.withColumn("limit2", F.lit(float("inf")))

@@ -69,8 +69,9 @@ def impute_nulls(df: DataFrame, key: str, on: Sequence[str], columns: Sequence[s
     `numbers_as_codes` numbers are coded the same way and keep the codes.
     """
     missing = set(profile.columns_with_nulls(df))
-    wanted = [c for c in (columns if columns is not None else df.columns) if c in missing and c != key]
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
+    usable = {*profile.numeric_columns(df), *(c for c, kind in kinds.items() if kind in ("string", "date"))} - {key}
+    wanted = [c for c in (columns if columns is not None else df.columns) if c in missing & usable]
     for column in sorted(wanted, key=lambda c: c not in on):
         others = [c for c in on if c != column]
         if kinds[column] in ("string", "date") or (numbers_as_codes and column not in on):
