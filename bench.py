@@ -1,6 +1,6 @@
 """Times the headline queries and prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3, the median counts).
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 1, the median counts).
 Every query is run once to warm up; results are computed in full and discarded.
 """
 
@@ -26,7 +26,7 @@ HEADLINE = [
 
 def main():
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    cpus, runs = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_RUNS", "3"))
+    cpus, runs = os.environ.get("BENCH_CPUS", "8"), int(os.environ.get("BENCH_RUNS", "1"))
     names = sys.argv[1:] or HEADLINE
     spark = get_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
                         spark__ui__showConsoleProgress="false", spark__driver__memory="12g")

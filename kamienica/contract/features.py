@@ -165,7 +165,7 @@ def knn_impute(spark, folder):
 def knn_impute_customers(spark, folder):
     """Gaps in the country, filled by balance, through cells of few rows."""
     rows = _with_gaps(table(spark, folder, "customer"), "c_nationkey", F.col("c_mktsegment") == "BUILDING")
-    filled = neighbours.knn_impute(rows, "c_custkey", "c_nationkey", ["c_acctbal"], cell_rows=500)
+    filled = neighbours.knn_impute(rows, "c_custkey", "c_nationkey", ["c_acctbal"], cell_rows=100)
     return filled.select("c_custkey", F.round("c_nationkey", 4).alias("c_nationkey"))
 
 

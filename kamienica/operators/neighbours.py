@@ -28,7 +28,10 @@ from pyspark.sql import types as T
 from kamienica.operators.cleanse import quoted
 from kamienica.session import settle
 
+# Cells are made about half this full. One that got larger is split again only when it holds several times as
+# much: another level costs two more passes over the donors.
 CELL_ROWS = 4096
+_TOLERATED = 4
 CHUNK_ROWS = 4096
 _FAN = 64
 # Cells up to this number are counted in a table of a few megabytes, which every executor may hold.
@@ -99,7 +102,7 @@ def _grow(donors: DataFrame, width: int, cell_rows: int) -> tuple[DataFrame, lis
     """Donors with their final cell, the levels of the tree, and the number of cells."""
     points = donors
     levels = [_Level(None, _boxes(points, width))]
-    too_many = (F.col("n") > cell_rows) & (F.col("widest") > 0)
+    too_many = (F.col("n") > _TOLERATED * cell_rows) & (F.col("widest") > 0)
     while True:
         boxes = levels[-1].boxes
         cells, crowded = boxes.agg(F.count(F.lit(1)), F.count_if(too_many)).first()

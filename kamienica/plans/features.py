@@ -76,7 +76,7 @@ def impute_nulls(df: DataFrame, key: str, on: Sequence[str], columns: Sequence[s
         others = [c for c in on if c != column]
         if kinds[column] in ("string", "date") or (numbers_as_codes and column not in on):
             known = df.where(quoted(column).isNotNull())
-            dictionary = settle(encode.first_seen_dictionary(known, column, key))
+            dictionary = encode.first_seen_dictionary(known, column, key)
             coded = encode.encode(df, column, dictionary)
             df = neighbours.knn_impute(coded, key, column, others, k, mode=text_mode, truncate=True)
             if kinds[column] in ("string", "date"):
