@@ -95,31 +95,28 @@ def _ranked_values(df: DataFrame, targets: list[dict], distinct_limit: int) -> l
     def inside(t: dict) -> Column:
         return quoted(t["column"]).cast("double").between(t["low"], t["high"])
 
-    while True:
-        distinct = df.agg(*[F.approx_count_distinct(F.when(inside(t), quoted(t["column"]))).alias(f"d{k}")
-                            for k, t in enumerate(targets)]).first()
-        wide = [t for k, t in enumerate(targets)
-                if distinct[f"d{k}"] > distinct_limit and t["low"] < t["high"]]
-        if not wide:
-            break
-        margin = 2 / _ACCURACY
+    wide, margin = list(targets), 2 / _ACCURACY
+    while wide:
         brackets = df.agg(*[
             F.percentile_approx(F.when(inside(t), quoted(t["column"]).cast("double")), [
                 max(0.0, (t["rank"] - t["below"]) / t["inside"] - margin),
                 min(1.0, (t["rank"] - t["below"] + 1) / t["inside"] + margin)], _ACCURACY).alias(f"b{k}")
             for k, t in enumerate(wide)]).first()
-        counts = df.agg(*[e for k, t in enumerate(wide) for e in (
-            F.count_if(quoted(t["column"]).cast("double") < brackets[f"b{k}"][0]).alias(f"below{k}"),
-            F.count_if(quoted(t["column"]).cast("double") <= brackets[f"b{k}"][1]).alias(f"upto{k}"))]).first()
-        narrowed = False
+        measures = []
         for k, t in enumerate(wide):
-            below, upto = counts[f"below{k}"], counts[f"upto{k}"]
+            value, (low, high) = quoted(t["column"]).cast("double"), brackets[f"b{k}"]
+            measures += [F.count_if(value < low).alias(f"below{k}"), F.count_if(value <= high).alias(f"upto{k}"),
+                         F.approx_count_distinct(F.when(value.between(low, high), value)).alias(f"distinct{k}")]
+        measured = df.agg(*measures).first()
+        still_wide = []
+        for k, t in enumerate(wide):
+            below, upto = measured[f"below{k}"], measured[f"upto{k}"]
             # A bracket counts only if the rank is proven to lie in it.
             if below <= t["rank"] < upto and upto - below < t["inside"]:
                 t.update(low=brackets[f"b{k}"][0], high=brackets[f"b{k}"][1], below=below, inside=upto - below)
-                narrowed = True
-        if not narrowed:
-            break
+                if measured[f"distinct{k}"] > distinct_limit and t["low"] < t["high"]:
+                    still_wide.append(t)
+        wide = still_wide
 
     pairs = F.array(*[F.when(inside(t), F.struct(F.lit(k).alias("k"),
                                                  quoted(t["column"]).cast("double").alias("v")))
