@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kamienica.contract.registry import table
-from kamienica.llm import chat, mixing, packing, url_filter
+from kamienica.llm import chat, mixing, packing, quality, simhash, token_counts, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +48,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
                       f"UNION ALL SELECT -1L, 1L, 'assistant', {says}")
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     return chat.digest(chat.render(chat.fold(chat.log_of(rows))))
+
+
+@query("op1_quality_rules")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    model, measured = quality.fit(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    return quality.judge(measured.withColumnRenamed("__key", "doc_id"), model)
+
+
+@query("op7_simhash_near_dedup")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select(F.col("__key").alias("doc_id"), "fingerprint", "component_id")
+
+
+@query("op10_token_counts")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
