@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import table
-from kamienica.llm import chat, mixing, packing, quality, simhash, suffix_dedup, token_counts, url_filter
+from kamienica.llm import (chat, mixing, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
+                           url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,3 +74,17 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return suffix_dedup.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans",
                                                     F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_exact_top_k", topk.QUERY_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(spark, folder, "embeddings"))
+
+
+@query("op5_sentencepiece")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    both = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, path), path)
+    return both.select("doc_id", "n_pieces", F.sha2(F.concat_ws(",", "pieces"), 256).alias("ids_sha256"),
+                       F.xxhash64("decoded").alias("decoded_hash"), F.expr("decoded <=> text").alias("round_trip"))

@@ -404,10 +404,17 @@ def _pack_rids(batches):
 
 
 def dedup_text(docs: DataFrame, key: str = "doc_id", text: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
-    """The documents with repeats cut out of the text; what a cut leaves of a broken character goes too. Columns stay."""
-    cut = remove_repeats(docs, key, text, part_bytes)
-    whole = F.when(F.col("n_removed") == 0, F.col(text)).otherwise(_valid_utf8(F.col("kept")))
-    return cut.select(*[whole.alias(c) if c == text else F.col(c) for c in docs.columns])
+    """The documents with repeats cut out of the text; what a cut leaves of a broken character goes too. Columns stay.
+
+    A document of which nothing is left goes; one that lost nothing stays, also an empty one.
+    """
+    own = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
+    place = {c.lower(): n for c, n in own.items()}
+    body = place[text.lower()]
+    cut = remove_repeats(docs.withColumnsRenamed(own), place[key.lower()], body, part_bytes)
+    left = F.when(F.col("n_removed") == 0, F.col(body)).otherwise(_valid_utf8(F.col("kept")))
+    return (cut.withColumn("__left", left).where((F.col("n_removed") == 0) | (F.length("__left") > 0))
+            .select(*[(F.col("__left") if c.lower() == text.lower() else F.col(n)).alias(c) for c, n in own.items()]))
 
 
 def _valid_utf8(raw):
