@@ -41,11 +41,13 @@ def fold(log: DataFrame) -> DataFrame:
     order = [F.col(c).desc() for c in ("seq", "turn", "kind", "text")]
     later = Window.partitionBy("conv_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     same_turn = Window.partitionBy("conv_id", "turn").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    withdrawn = F.min(F.when(F.col("kind") == "regenerate", F.col("turn"))).over(later)
-    events = events.withColumn("withdrawn", F.coalesce(withdrawn <= F.col("turn"), F.lit(False)))
+    again_from = F.min(F.when(F.col("kind") == "regenerate", F.col("turn"))).over(later)
+    events = (events.withColumn("again_from", again_from)
+              .withColumn("withdrawn", F.coalesce(F.col("again_from") <= F.col("turn"), F.lit(False))))
     resets = F.col("kind").isin("message", "edit") & ~F.col("withdrawn")
     events = events.withColumn("replaced", F.coalesce(F.max(resets).over(same_turn), F.lit(False)))
-    role_at = F.max(F.when(F.col("kind") == "message", F.struct("seq", "role")))
+    named = (F.col("kind") == "message") & F.coalesce(F.col("again_from") >= F.col("turn"), F.lit(True))
+    role_at = F.max(F.when(named, F.struct("seq", "role")))  # a turn told anew keeps its role
     says = F.when(~F.col("withdrawn") & ~F.col("replaced") & F.col("kind").isin("message", "delta", "edit"),
                   F.struct("seq", "kind", "text"))
     stays = F.max(~F.col("withdrawn") & F.col("kind").isin("message", "delta", "edit", "regenerate"))
