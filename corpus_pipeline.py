@@ -42,8 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with piece ids, their number, and whether they decode to the text."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    both = sentencepiece_codec.decode(sentencepiece_codec.encode(docs, path), path)
-    return both.withColumn("round_trip", F.expr("decoded <=> text")).drop("decoded")
+    return sentencepiece_codec.encode_and_decode(docs, path).withColumn("round_trip", F.expr("decoded <=> text")).drop("decoded")
 
 
 STAGES = [("quality_rules", quality_rules), ("simhash_near_dedup", simhash_near_dedup),

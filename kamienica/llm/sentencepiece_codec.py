@@ -38,7 +38,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, PAIRS = 1, 2
 UNKNOWN_PENALTY = 10.0
 WORD = regex.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-KEPT = 300_000  # encoded words a task remembers before it starts anew
+KEPT = 200_000  # encoded words a task remembers before it starts anew
+CHUNK = 1 << 20  # characters handled at a time
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -217,16 +218,16 @@ def seal(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def text_encoder(model: Model):
-    """A function from texts to their piece ids; keeps the words it has encoded."""
+    """A function from texts to arrays of their piece ids; keeps the words it has encoded, as packed integers."""
     encoder, known = Encoder(model), {}
 
-    def encode(texts: list[str]) -> list[list[int]]:
+    def encode(texts: list[str]) -> list[np.ndarray]:
         if len(known) > KEPT:
             known.clear()
         cut = [WORD.findall((BLANK if model.prefix and t else "") + t.replace(" ", BLANK)) for t in texts]
         new = list(set().union(*cut) - known.keys())
-        known.update(zip(new, encoder.encode(new)))
-        return [[i for word in words for i in known[word]] for words in cut]
+        known.update(zip(new, [np.array(ids, np.int32).tobytes() for ids in encoder.encode(new)]))
+        return [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in cut]
 
     return encode
 
@@ -243,20 +244,39 @@ def text_decoder(model: Model):
     return decode
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """Every document with `pieces` (ids) and `n_pieces`."""
+def _converted(docs: DataFrame, path: str, text: str, and_back: bool) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(Model.load(path))  # bounded by the model file
+    schema = "pieces array<int>" + ", decoded string" * and_back
 
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        run = text_encoder(model.value)
+    @F.pandas_udf(schema)
+    def convert(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        to_ids, to_text = text_encoder(model.value), text_decoder(model.value)
         for batch in batches:
-            rows = [np.array(r, np.int32) for part in chunks(batch.fillna("").tolist()) for r in run(part)]
-            yield pd.Series(rows, dtype=object)
+            ids: list[np.ndarray] = []
+            for part in chunks(batch.fillna("").tolist(), CHUNK):
+                ids += to_ids(part)
+            yield pd.DataFrame({"pieces": pd.Series(ids, dtype=object)} | (
+                {"decoded": pd.Series([to_text(row) for row in ids], dtype=object)} if and_back else {}))
+
+    names = RESULT if and_back else RESULT[:2]
+    kept = [c for c in docs.columns if c.lower() not in names]
+    own = [f"__row{i}" for i in range(len(kept))]
+    out = docs.select(*[F.col(c).alias(n) for c, n in zip(kept, own)], F.col(text).alias("__text")).withColumn(
+        "__out", convert("__text"))
+    there = F.col("__text").isNotNull()
+    return out.select(*[F.col(n).alias(c) for c, n in zip(kept, own)], *[F.when(there, e).alias(n) for n, e in (
+        ("pieces", F.col("__out.pieces")), *[("decoded", F.col("__out.decoded"))] * and_back)]).withColumn(
+        "n_pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long"))
+
+
+def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Every document with `pieces` (ids) and `n_pieces`."""
+    return _converted(docs, path, text, False)
+
 
-    kept = [F.col(c) for c in docs.columns if c.lower() not in RESULT[:2]]
-    out = docs.select(*kept, F.when(F.col(text).isNotNull(), ids(F.col(text))).alias("pieces"))
-    return out.withColumn("n_pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long"))
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """Every document with `pieces`, `n_pieces` and `decoded`, the text of these pieces, by one Python process a task."""
+    return _converted(docs, path, text, True)
 
 
 def decode(encoded: DataFrame, path: str, pieces: str = "pieces") -> DataFrame:
