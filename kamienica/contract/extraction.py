@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from kamienica.contract.registry import query, table
 from kamienica.operators import extract
-from kamienica.session import spread
 
 
 @query("page_links", """
@@ -27,7 +26,8 @@ def last_list_item(spark, folder):
 def last_page_number(spark, folder):
     pager = F.concat("html", F.lit('<ul><li class="pager">1</li><li class="pager x"> '),
                      (F.col("page_id") + 9).cast("string"), F.lit('</li><li class="pager"> '),
-                     (F.col("page_id") + 7).cast("string"), F.lit("</li></ul>"))
+                     (F.col("page_id") + 8).cast("string"), F.lit('</li><li id="z" class="last pager now"> '),
+                     (F.col("page_id") + 7).cast("string"), F.lit('</li><li class="pagers"> 5</li></ul>'))
     return table(spark, folder, "pages").select(
         "page_id", extract.last_page_number(pager, "pager").alias("last_page"))
 
@@ -77,13 +77,15 @@ def merge_right_wins(spark, folder):
     return extract.merge_right_wins(left, right, by, "value")
 
 
+_EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
 @query("pairs_to_wide", f"""
-    SELECT user_id, max(value) FILTER (event_type = 'click') AS click,
-           max(value) FILTER (event_type = 'purchase') AS purchase,
-           max(value) FILTER (event_type = 'view') AS view FROM ({_LAST}) GROUP BY user_id""")
+    SELECT user_id, {", ".join(f"max(value) FILTER (event_type = '{t}') AS {t}" for t in _EVENT_TYPES)}
+    FROM ({_LAST}) GROUP BY user_id""")
 def pairs_to_wide(spark, folder):
     return extract.pairs_to_wide(last_wins(spark, folder), "user_id", "event_type", "value",
-                                 ["click", "purchase", "view"])
+                                 _EVENT_TYPES)
 
 
 @query("coalesce_text", r"""
@@ -132,7 +134,7 @@ def advert_pages(spark, folder):
         F.lit('<script id="__NEXT_DATA__" type="application/json">{"props": {"ad_id": 0, "page": {"ad_price": '), size,
         F.lit(', "other": 1, "security": ["a", "b"], "street": null}}, "ad_id": '), key,
         F.lit(', "poster_type": "'), "p_type", F.lit('"}</script></body></html>'))
-    return spread(table(spark, folder, "part")).select(
+    return table(spark, folder, "part").select(
         F.col("p_partkey").alias("page_id"), F.concat(F.lit("/ad/"), key).alias("url"), html.alias("html"))
 
 
@@ -163,4 +165,4 @@ def adverts_failed(spark, folder):
 
 @query("pages_routed", "SELECT page_id, url, 'failed' AS status, 'no address' AS error FROM pages")
 def pages_routed(spark, folder):
-    return extract.extract_adverts(spread(table(spark, folder, "pages"))).select("page_id", "url", "status", "error")
+    return extract.extract_adverts(table(spark, folder, "pages")).select("page_id", "url", "status", "error")

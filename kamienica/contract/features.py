@@ -107,7 +107,7 @@ _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM lineitem"
     for i, a in enumerate(_CORR) for b in _CORR[i + 1:]))
 def corr_pairs(spark, folder):
-    found = outliers.correlations(table(spark, folder, "lineitem"), _CORR, pairs_per_scan=1)
+    found = outliers.correlations(table(spark, folder, "lineitem"), _CORR)
     return spark.createDataFrame([(a, b, round(r, 6)) for (a, b), r in found.items()], "a string, b string, r double")
 
 
@@ -179,6 +179,47 @@ def knn_impute_orders(spark, folder):
     return filled.select("o_orderkey", F.round("o_totalprice", 4).alias("o_totalprice"))
 
 
+@query("knn_impute_partial", """
+    WITH s AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS v,
+                      CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey::DOUBLE END AS x,
+                      CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey::DOUBLE END AS y FROM orders),
+         p AS (SELECT q.o_orderkey, d.v, d.o_orderkey AS k, (coalesce(pow(q.x - d.x, 2), 0) + coalesce(pow(q.y - d.y, 2), 0))
+                      * 2 / ((q.x IS NOT NULL AND d.x IS NOT NULL)::INT + (q.y IS NOT NULL AND d.y IS NOT NULL)::INT) AS d2
+               FROM s AS q, s AS d WHERE q.v IS NULL AND d.v IS NOT NULL
+                 AND (q.x IS NOT NULL AND d.x IS NOT NULL OR q.y IS NOT NULL AND d.y IS NOT NULL)),
+         n AS (SELECT o_orderkey, v, sqrt(d2) AS dist FROM p
+               QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY sqrt(d2), k) <= 5),
+         f AS (SELECT o_orderkey, coalesce(avg(v) FILTER (dist = 0), sum(CASE WHEN dist > 0 THEN v / dist END)
+                   / sum(CASE WHEN dist > 0 THEN 1 / dist END)) AS v FROM n GROUP BY 1)
+    SELECT s.o_orderkey, round(coalesce(s.v, f.v, (SELECT avg(v) FROM s)), 6) AS v FROM s LEFT JOIN f USING (o_orderkey)""")
+def knn_impute_partial(spark, folder):
+    """Coordinates missing on both sides: distances over the shared ones, rescaled."""
+    rows = table(spark, folder, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("v"),
+        F.when(F.pmod("o_orderkey", F.lit(7)) != 0, F.col("o_custkey").cast("double")).alias("x"),
+        F.when(F.pmod("o_orderkey", F.lit(5)) != 0, F.col("o_orderkey").cast("double")).alias("y"))
+    filled = neighbours.knn_impute(rows, "o_orderkey", "v", ["x", "y"])
+    return filled.select("o_orderkey", F.round("v", 6).alias("v"))
+
+
+_WIDE = 20
+
+
+@query("corr_pairs_wide", f"""
+    WITH w AS (SELECT {", ".join(
+        f"CASE WHEN l_orderkey % {i + 3} <> 0 THEN l_extendedprice * {i} + l_quantity * {(i * 7) % 11} * 1000 + l_tax * 9e5 END AS c{i}"
+        for i in range(_WIDE))} FROM lineitem)
+    """ + " UNION ALL ".join(f"SELECT 'c{i}' AS a, 'c{j}' AS b, round(corr(c{i}, c{j}), 6) AS r FROM w"
+                             for i in range(_WIDE) for j in range(i + 1, _WIDE)))
+def corr_pairs_wide(spark, folder):
+    """Twenty columns, each with nulls of its own: one pass."""
+    rows = table(spark, folder, "lineitem").select(*[
+        F.when(F.pmod("l_orderkey", F.lit(i + 3)) != 0, F.col("l_extendedprice") * i + F.col("l_quantity") * ((i * 7) % 11) * 1000
+               + F.col("l_tax") * 9e5).alias(f"c{i}") for i in range(_WIDE)])
+    found = outliers.correlations(rows, rows.columns)
+    return spark.createDataFrame([(a, b, round(r, 6)) for (a, b), r in found.items()], "a string, b string, r double")
+
+
 @query("standard_scale", """
     WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS dq, avg(l_tax) AS mt, stddev_pop(l_tax) AS dt
                FROM lineitem)
@@ -235,27 +276,70 @@ def pca_ratio(spark, folder):
     return spark.createDataFrame([(round(ratios[0], 6),)], "first_ratio double")
 
 
-@query("pca_variance")
-def pca_variance(spark, folder):
-    columns = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "doubled"]
-    rows = table(spark, folder, "lineitem").withColumn("doubled", F.col("l_quantity") * 2)
-    rows = scale.standard_scale(rows, columns)
-    train, test = scale.hash_split(rows, "l_orderkey")
-    train, test = (scale.assemble(df, columns, "l_extendedprice", ["l_orderkey"]) for df in (train, test))
-    _, projected, ratios = scale.pca_to_variance(train, test)
-    return projected.select("l_orderkey", F.lit(ratios[0]).alias("first_ratio"), "label")
+_SPLIT = "('0x' || substr(md5({key} || ':123'), 1, 8))::BIGINT < 858993459"
 
 
-@query("build_features")
+@query("pca_variance", f"""
+    WITH r AS (SELECT l_orderkey, l_linenumber, l_quantity AS x, l_quantity + l_tax * 200 AS y, l_discount AS label,
+                      {_SPLIT.format(key="l_orderkey")} AS is_test FROM lineitem),
+         m AS (SELECT avg(x) AS mx, avg(y) AS my, var_samp(x) AS a, covar_samp(x, y) AS b, var_samp(y) AS d
+               FROM r WHERE NOT is_test),
+         e AS (SELECT *, (a + d + sqrt((a - d) * (a - d) + 4 * b * b)) / 2 AS top FROM m),
+         v AS (SELECT *, b / sqrt(b * b + (top - a) * (top - a)) AS vx, (top - a) / sqrt(b * b + (top - a) * (top - a)) AS vy
+               FROM e)
+    SELECT l_orderkey, l_linenumber, label, is_test, round(pow((x - mx) * vx + (y - my) * vy, 2), 5) AS first_squared,
+           round(pow(x - mx, 2) + pow(y - my, 2), 5) AS length_squared, round(top / (a + d), 6) AS first_ratio
+    FROM r, v""")
+def pca_variance(spark, folder):
+    """Both components of two columns: the first one squared, as its sign is free, and the length, which stays."""
+    rows = table(spark, folder, "lineitem").withColumn("mixed", F.col("l_quantity") + F.col("l_tax") * 200)
+    train, test = scale.hash_split(rows, "l_orderkey")
+    train, test = (scale.assemble(df, ["l_quantity", "mixed"], "l_discount", ["l_orderkey", "l_linenumber"])
+                   for df in (train, test))
+    train, test, ratios = scale.pca_to_variance(train, test, 1.0)
+    both = train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+    part = vector_to_array("features")
+    return both.select("l_orderkey", "l_linenumber", "label", "is_test", F.round(part[0] * part[0], 5).alias("first_squared"),
+                       F.round(part[0] * part[0] + part[1] * part[1], 5).alias("length_squared"),
+                       F.lit(round(ratios[0], 6)).alias("first_ratio"))
+
+
+@query("build_features", f"""
+    WITH c AS (SELECT 'c' || c_custkey AS id, c_custkey / 100 AS latitude, c_acctbal AS price,
+                      CASE WHEN c_nationkey <> 3 THEN c_nationkey::DOUBLE END AS nation,
+                      (c_custkey % 40 = 0)::INTEGER AS rare, c_mktsegment AS segment FROM customer),
+         n AS (SELECT q.id, d.nation, sqrt(pow(q.latitude - d.latitude, 2) + pow(q.price - d.price, 2)) AS dist
+               FROM c AS q, c AS d WHERE q.nation IS NULL AND d.nation IS NOT NULL QUALIFY row_number() OVER (
+                   PARTITION BY q.id ORDER BY pow(q.latitude - d.latitude, 2) + pow(q.price - d.price, 2), d.id) <= 5),
+         f AS (SELECT id, coalesce(avg(nation) FILTER (dist = 0), sum(CASE WHEN dist > 0 THEN nation / dist END)
+                   / sum(CASE WHEN dist > 0 THEN 1 / dist END)) AS filled FROM n GROUP BY id),
+         i AS (SELECT c.* REPLACE (coalesce(nation, filled) AS nation) FROM c LEFT JOIN f USING (id)),
+         a AS (SELECT i.* FROM i, (SELECT avg(price) AS m, stddev_pop(price) AS d FROM i) WHERE abs((price - m) / d) < 3),
+         o AS (SELECT a.* FROM a, (SELECT avg(nation) AS m, stddev_pop(nation) AS d FROM a) WHERE abs((nation - m) / d) < 3),
+         s AS (SELECT avg(latitude) AS lm, stddev_pop(latitude) AS ls, avg(nation) AS nm, stddev_pop(nation) AS ns,
+                      avg(rare) AS rm, stddev_pop(rare) AS rs FROM o)
+    SELECT id, price AS label, round((latitude - lm) / ls, 4) AS latitude, round((nation - nm) / ns, 4) AS nation,
+           round((rare - rm) / rs, 4) AS rare, {", ".join(f"(segment = '{x}')::DOUBLE AS {x.lower()}" for x in
+                                                          ("BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"))},
+           {_SPLIT.format(key="id")} AS is_test FROM o, s""")
 def features_built(spark, folder):
+    """A text key, a column to impute, a copy to drop, a constant, a rare token, a column without values; defaults."""
     rows = table(spark, folder, "customer").select(
-        "c_custkey", F.nullif("c_mktsegment", F.lit("BUILDING")).alias("segment"),
-        F.nullif("c_nationkey", F.lit(3)).cast("double").alias("nation"),
-        (F.col("c_nationkey") + F.col("c_acctbal") / 1e4).alias("copy"),
-        (F.col("c_custkey") / 100).alias("latitude"), F.col("c_acctbal").alias("price"))
-    built = build_features(rows, FeatureConfig(
-        key="c_custkey", target="price", impute_on=["latitude", "price"], encoding="ordinal", pca=True))
-    return built.train.unionByName(built.test).select("c_custkey", "label")
+        F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("id"), (F.col("c_custkey") / 100).alias("latitude"),
+        F.col("c_acctbal").alias("price"), F.nullif("c_nationkey", F.lit(3)).cast("double").alias("nation"),
+        (F.pmod("c_custkey", F.lit(40)) == 0).cast("int").alias("rare"), F.col("c_mktsegment").alias("segment"),
+        (F.col("c_custkey") / 50 + 1).alias("mirrored"))
+    built = build_features(rows, FeatureConfig(key="id", target="price", impute_on=["latitude", "price"]))
+    return _flat(built, {"latitude": 4, "nation": 4, "rare": 4, "segment_BUILDING": 0, "segment_FURNITURE": 0,
+                         "segment_HOUSEHOLD": 0, "segment_MACHINERY": 0}, "id")
+
+
+def _flat(built, columns, key):
+    """Chosen feature columns, rounded, with key, label and side."""
+    place, value = {c: i for i, c in enumerate(built.columns)}, vector_to_array("features")
+    both = built.train.withColumn("is_test", F.lit(False)).unionByName(built.test.withColumn("is_test", F.lit(True)))
+    return both.select(key, "label", "is_test", *[F.round(value[place[c]], d).alias(c.removeprefix("segment_").lower())
+                                                  for c, d in columns.items()])
 
 
 @query("features_scaled", """
@@ -270,7 +354,8 @@ def features_built(spark, folder):
 def features_scaled(spark, folder):
     """The composite step without neighbours: outliers, scaling, indicators, split."""
     rows = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus")
-    built = build_features(rows, FeatureConfig(key="o_orderkey", target="o_totalprice", impute=None))
+    built = build_features(rows, FeatureConfig(
+        key="o_orderkey", target="o_totalprice", impute=None, outlier_columns=["o_totalprice", "o_custkey"]))
     place = {c: i for i, c in enumerate(built.columns)}
     both = built.train.withColumn("is_test", F.lit(False)).unionByName(built.test.withColumn("is_test", F.lit(True)))
     value = vector_to_array("features")

@@ -68,16 +68,19 @@ def _number_sql(c):
     return f"""SELECT '{c}' AS column, count({c}) AS count, NULL::BIGINT AS unique, NULL::VARCHAR AS top,
         NULL::BIGINT AS freq, round(avg({c}), 4) AS mean, round(stddev({c}), 4) AS std, min({c})::DOUBLE AS min,
         round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50,
-        round(quantile_cont({c}, 0.75), 4) AS q75, max({c})::DOUBLE AS max FROM events"""
+        round(quantile_cont({c}, 0.75), 4) AS q75, max({c})::DOUBLE AS max,
+        NULL::VARCHAR AS earliest, NULL::VARCHAR AS latest FROM events"""
 
 
-def _text_sql(c):
+def _text_sql(c, value=None, ends="NULL, NULL"):
+    value = value or c
     return f"""SELECT '{c}', sum(n)::BIGINT, count(*), arg_min({c}, (-n, md5({c}))), max(n), NULL, NULL, NULL, NULL, NULL,
-        NULL, NULL FROM (SELECT {c}, count(*) AS n FROM events GROUP BY 1)"""
+        NULL, NULL, {ends} FROM (SELECT {c}, count(*) AS n FROM (SELECT {value} AS {c} FROM events) GROUP BY 1)"""
 
 
 @query("describe_all", " UNION ALL ".join(
-    [_number_sql(c) for c in ("event_id", "user_id", "value")] + [_text_sql(c) for c in ("event_type", "props")]))
+    [_number_sql(c) for c in ("event_id", "user_id", "value")] + [_text_sql(c) for c in ("event_type", "props")]
+    + [_text_sql("ts", "CAST(ts AS VARCHAR)", "min(ts), max(ts)")]))
 def describe_all(spark, folder):
     described = profile.describe_all(table(spark, folder, "events"))
     return described.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})

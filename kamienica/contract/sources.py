@@ -28,11 +28,51 @@ def latest_snapshot(spark, folder):
 def latest_partition(spark, folder):
     path = _new_folder(spark)
     (table(spark, folder, "events").select("event_id", "event_type", F.to_date("ts").alias("snapshot"))
-        .repartition("snapshot").write.partitionBy("snapshot").parquet(path))
+        .write.partitionBy("snapshot").parquet(path))
     newest = tables.latest_partition(spark, path)
     return newest.withColumn("snapshot", F.col("snapshot").cast("string"))
 
 
+@query("latest_files", """
+    SELECT event_id, event_type, value FROM events
+    WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)""")
+def latest_files(spark, folder):
+    """Two snapshots of several parts each, the newer one written last."""
+    path = _new_folder(spark)
+    events = table(spark, folder, "events")
+    newest = tables.latest_rows(events, F.to_date("ts")).select("event_id", "event_type", "value")
+    events.select("event_id", "event_type", "value").repartition(3).write.parquet(f"{path}/first")
+    newest.repartition(4).write.parquet(f"{path}/second")
+    return tables.latest_files(spark, path)
+
+
+@query("snapshot_round_trip", """
+    SELECT p_partkey, p_name, 'b' AS snapshot FROM part WHERE p_size > 20""")
+def snapshot_round_trip(spark, folder):
+    """A snapshot written, another added and written once more; only the repeated one is replaced."""
+    path = _new_folder(spark)
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_size")
+    for rows, name in ((parts, "a"), (parts, "b"), (parts.where("p_size > 20"), "b")):
+        tables.write_snapshot(rows.drop("p_size"), path, name)
+    return tables.latest_partition(spark, path)
+
+
+@query("clean_round_trip", "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0")
+def clean_round_trip(spark, folder):
+    path = _new_folder(spark)
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal").where("c_acctbal > 0")
+    tables.write_clean(rows, path)
+    return tables.read_table(spark, path, rows.schema)
+
+
+@query("dead_letters", """
+    SELECT page_id, url, 'failed' AS status, 'no address' AS error FROM pages""")
+def dead_letters(spark, folder):
+    path = _new_folder(spark)
+    tables.write_failures(extract.extract_adverts(table(spark, folder, "pages")), path)
+    return tables.read_table(spark, path)
+
+
 @query("scan_drop_column", "SELECT p_partkey, p_name, p_brand, p_type, p_size FROM part")
 def scan_drop_column(spark, folder):
     return tables.read_table(spark, f"{folder}/part.parquet", drop=["p_retailprice"])

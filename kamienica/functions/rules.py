@@ -97,12 +97,12 @@ CATEGORY_COLUMNS = (
     "forma_wlasnosci", "stan_wykonczenia", "miejsce_parkingowe", "ogrzewanie", "rynek",
     "rodzaj_zabudowy", "okna", "winda", "material_budynku", "poster_type", "region_id", "subregion_id",
 )
+#: Columns that measure something; all other numbers are counts, indicators, codes or ids.
+MEASURE_COLUMNS = ("powierzchnia", "czynsz", "ad_price")
 UNUSED_COLUMNS = ("adres", "ad_photo", "price_currency")
 REQUIRED_COLUMNS = ("powierzchnia", "ktore_pietro")
 TARGET_COLUMN = "ad_price"
 LOCATION_COLUMNS = ("latitude", "longitude")
-FILL_TEXT = "to_fill"
-FILL_NUMBER = 404
 FILL_NONE = "Brak"
 
 # --- fixed values: single-letter transliteration of three alphabets -----------------------------------

@@ -29,8 +29,9 @@ def page_links(spark: SparkSession, last: int, base: str) -> DataFrame:
 
 
 def last_list_item(html: Column, css_class: str | None = None) -> Column:
-    """Text of the last `<li>`, optionally of one class; null if there is none."""
-    attribute = rf'[^>]*\bclass="{css_class}"' if css_class else ""
+    """Text of the last `<li>`, optionally of those that have the class among their classes; null if there is none."""
+    word = rf'(?:[^"]*\s)?\Q{css_class}\E(?:\s[^"]*)?'
+    attribute = rf'[^>]*\bclass="{word}"' if css_class else ""
     items = F.regexp_extract_all(html, F.lit(rf"(?is)<li\b{attribute}[^>]*>(.*?)</li>"), F.lit(1))
     return F.trim(F.regexp_replace(F.try_element_at(items, F.lit(-1)), r"<[^>]*>", ""))
 

@@ -21,7 +21,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasLabelCol, HasPredictionCol
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -110,7 +110,7 @@ def _grow(donors: DataFrame, width: int, cell_rows: int) -> tuple[DataFrame, lis
             return points, levels, cells
         splits = _splits(points, boxes.where(too_many), width, cell_rows)
         splits = splits if width <= _NARROW else settle(splits)
-        points = _to_child(points, splits)
+        points = settle(_to_child(points, splits))
         levels.append(_Level(splits, _boxes(points, width)))
 
 
@@ -147,9 +147,9 @@ def _search(visits: DataFrame, donors: DataFrame, width: int, k: int, few_cells:
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
 
     def nearest_in_cell(queries: pd.DataFrame, cell: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": [], "donor": [], "value": [], "d2": []})
-        if queries.empty or cell.empty:
-            return empty
+        if queries.empty or cell.empty:  # empty, in the types of the keys
+            return pd.DataFrame({"query": queries["query"].iloc[:0], "donor": cell["donor"].iloc[:0],
+                                 "value": np.zeros(0), "d2": np.zeros(0)})
         cell = cell.sort_values("donor", kind="stable")
         at, have = queries[axes].to_numpy(), cell[axes].to_numpy()
         keys, donor_keys, donor_values = (queries["query"].to_numpy(), cell["donor"].to_numpy(),
@@ -254,52 +254,77 @@ def neighbour_vote(found: DataFrame) -> DataFrame:
     return votes.groupBy("query").agg(F.min_by("value", F.struct(-F.col("w"), F.col("value"))).alias("value"))
 
 
-def knn_impute(df: DataFrame, key: str, target: str, on: Sequence[str], k: int = 5,
-               weights: str = "distance", mode: str = "mean", truncate: bool = False,
-               scale: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Fill nulls of a numeric `target` from the k rows nearest in the columns `on`.
+def _patterns(df: DataFrame, on: Sequence[str]) -> list[tuple[bool, ...]]:
+    """Which of the columns are present together; at most 2^len(on) rows."""
+    return [tuple(r) for r in df.select(*[quoted(c).isNotNull().alias(f"p{i}") for i, c in enumerate(on)]).distinct().collect()]
+
+
+def _has_pattern(on: Sequence[str], pattern: Sequence[bool]) -> Column:
+    matches = F.lit(True)
+    for c, has in zip(on, pattern):
+        matches = matches & (quoted(c).isNotNull() if has else quoted(c).isNull())
+    return matches
+
 
-    Rows that lack some of `on` are compared in the columns they have; rows that lack all of them get the mean
-    of the target. `truncate` cuts imputed values to whole numbers; `mode="vote"` takes the weightiest value
-    instead of the mean; `scale` divides each column of `on` by its deviation first.
+def knn_values(df: DataFrame, key: str, target: str, on: Sequence[str], k: int = 5, weights: str = "distance",
+               mode: str = "mean", scale: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(query, value) for every row without `target`, from the k rows nearest in the columns `on`.
+
+    Two rows are compared in the columns both have; the squared distance is then multiplied by the number of columns over
+    the number compared. Every set of shared columns is a search of its own among the donors that share exactly it, and
+    the k best of all searches count. Rows that share no column with any donor get the mean of the target.
     """
-    present = [quoted(c).isNotNull() for c in on]
     known, gaps = df.where(quoted(target).isNotNull()), df.where(quoted(target).isNull())
-    size = {c: F.lit(1.0) for c in on}
+    size = {c: 1.0 for c in on}
     if scale:
         row = df.agg(*[F.stddev_pop(quoted(c)).alias(f"s{i}") for i, c in enumerate(on)]).first()
-        size = {c: F.lit(row[f"s{i}"] or 1.0) for i, c in enumerate(on)}
-    # at most 2^len(on) different patterns of present columns
-    patterns = [tuple(r) for r in gaps.select(*[p.alias(f"p{i}") for i, p in enumerate(present)]).distinct().collect()]
-    filled = []
-    for pattern in patterns:
-        used = [c for c, has in zip(on, pattern) if has]
-        matches, complete = F.lit(True), F.lit(True)
-        for has, is_there in zip(pattern, present):
-            matches = matches & (is_there if has else ~is_there)
-            complete = complete & (is_there if has else F.lit(True))
-        here = gaps.where(matches)
-        if not used:
-            mean = known.agg(F.avg(quoted(target))).first()[0]
-            filled.append(here.select(quoted(key).alias("query"), F.lit(mean).cast("double").alias("value")))
-            continue
-        point = F.array(*[quoted(c).cast("double") / size[c] if scale else quoted(c).cast("double")
-                          for c in used]).alias("point")
-        found = nearest(
-            here.select(quoted(key).alias("query"), point),
-            known.where(complete).select(quoted(key).alias("donor"), point, quoted(target).alias("value")),
-            len(used), k, cell_rows)
-        filled.append(neighbour_vote(found) if mode == "vote" else neighbour_mean(found, weights))
-    if not filled:
+        size = {c: row[f"s{i}"] or 1.0 for i, c in enumerate(on)}
+    donor_patterns, found = _patterns(known, on), None
+    for pattern in _patterns(gaps, on):
+        here = gaps.where(_has_pattern(on, pattern))
+        for shared in {tuple(a and b for a, b in zip(pattern, other)) for other in donor_patterns}:
+            used = [c for c, has in zip(on, shared) if has]
+            if not used:
+                continue
+            others = [o for o in donor_patterns if tuple(a and b for a, b in zip(pattern, o)) == shared]
+            offers = F.lit(False)
+            for other in others:
+                offers = offers | _has_pattern(on, other)
+            point = F.array(*[quoted(c).cast("double") / F.lit(size[c]) for c in used]).alias("point")
+            part = nearest(here.select(quoted(key).alias("query"), point),
+                           known.where(offers).select(quoted(key).alias("donor"), point, quoted(target).alias("value")),
+                           len(used), k, cell_rows)
+            part = part.withColumn("distance", F.col("distance") * F.sqrt(F.lit(len(on) / len(used))))
+            found = part if found is None else found.unionByName(part)
+    everyone = gaps.select(quoted(key).alias("query"))
+    if found is None:
+        values = everyone.withColumn("value", F.lit(None).cast("double"))
+    else:
+        best = Window.partitionBy("query").orderBy("distance", "donor")
+        found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k)
+        values = everyone.join(neighbour_vote(found) if mode == "vote" else neighbour_mean(found, weights), "query", "left")
+    mean = known.agg(F.avg(quoted(target)).cast("double")).first()[0]
+    return values.select("query", F.coalesce("value", F.lit(mean).cast("double")).alias("value"))
+
+
+def knn_impute(df: DataFrame, key: str, target: str, on: Sequence[str], k: int = 5,
+               weights: str = "distance", mode: str = "mean", truncate: bool = False,
+               scale: bool = False, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Fill nulls of a numeric `target` by `knn_values`.
+
+    `truncate` cuts imputed values to whole numbers; `mode="vote"` takes the weightiest value instead of the mean;
+    `scale` divides each column of `on` by its deviation first. A column without any value stays as it is.
+    """
+    gaps = df.where(quoted(target).isNull())
+    if gaps.isEmpty():
         return df
-    values = filled[0]
-    for more in filled[1:]:
-        values = values.unionByName(more)
-    new = F.col("value").cast("bigint") if truncate else F.col("value")
-    imputed = gaps.join(values.withColumnRenamed("query", "_query"), quoted(key) == F.col("_query"), "left")
     kind = "bigint" if truncate else "double"
-    return known.withColumn(target, quoted(target).cast(kind)).unionByName(imputed.select(*[
-        new.cast(kind).alias(c) if c == target else quoted(c) for c in df.columns]))
+    known = df.where(quoted(target).isNotNull()).withColumn(target, quoted(target).cast(kind))
+    values = knn_values(df, key, target, on, k, weights, mode, scale, cell_rows).withColumnsRenamed(
+        {"query": "_query", "value": "_value"})
+    imputed = gaps.join(values, quoted(key) == F.col("_query"), "left")
+    return known.unionByName(imputed.select(*[
+        F.col("_value").cast(kind).alias(c) if c == target else quoted(c) for c in df.columns]))
 
 
 def knn_regress(train: DataFrame, test: DataFrame, key: str, point: str, label: str, width: int, k: int = 5,
@@ -330,9 +355,37 @@ class KNNRegressor(Estimator, _HasNeighbours):
         return self._copyValues(KNNModel(dataset))
 
 
+class _KNNWriter:
+    """The training table as Parquet, the settings as one row beside it."""
+
+    def __init__(self, model: KNNModel):
+        self.model, self.mode = model, "errorifexists"
+
+    def overwrite(self) -> _KNNWriter:
+        self.mode = "overwrite"
+        return self
+
+    def save(self, path: str) -> None:
+        model = self.model
+        model.train.write.mode(self.mode).parquet(f"{path}/train")
+        row = [(p.name, str(model.getOrDefault(p))) for p in model.params if model.isDefined(p)]
+        model.train.sparkSession.createDataFrame(row, "name string, value string").write.mode(self.mode).parquet(
+            f"{path}/settings")
+
+
 class KNNModel(Model, _HasNeighbours):
     """Holds the training table; the search runs when a table is transformed."""
 
+    def write(self) -> _KNNWriter:
+        return _KNNWriter(self)
+
+    @staticmethod
+    def load(spark: SparkSession, path: str) -> KNNModel:
+        model = KNNModel(spark.read.parquet(f"{path}/train"))
+        for r in spark.read.parquet(f"{path}/settings").collect():
+            model._set(**{r["name"]: int(r["value"]) if r["name"] == "k" else r["value"]})
+        return model
+
     def __init__(self, train: DataFrame | None = None):
         super().__init__()
         self.train = train

@@ -6,18 +6,19 @@ scan with a growing filter, however many rounds are run, and there is nothing to
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kamienica.operators.cleanse import quoted
 from kamienica.operators.profile import DISTINCT_LIMIT, exact_quantiles, numeric_columns
 
-_PAIRS_PER_SCAN = 100
+_NOTHING = 1e-13  # a spread below this part of the square sum is rounding
 
 
 def inside_iqr(df: DataFrame, column: str, distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
@@ -38,9 +39,36 @@ def inside_zscore(df: DataFrame, column: str, limit: float = 3.0) -> DataFrame:
     return df.where(F.abs((quoted(column) - mean) / std) < limit)
 
 
+def _zscore_scan(df: DataFrame, columns: list[str], limit: float = 3.0) -> tuple[DataFrame, list[str]]:
+    """Applies the filters of `columns` up to the first that removes rows; returns what is still to be done."""
+    names = list(dict.fromkeys(columns))
+    row = df.agg(F.count(F.lit(1)).alias("rows"), *[e for i, c in enumerate(names) for e in (
+        F.avg(quoted(c)).alias(f"m{i}"), F.stddev_pop(quoted(c)).alias(f"s{i}"), F.count(quoted(c)).alias(f"n{i}"),
+        F.min(quoted(c)).cast("double").alias(f"a{i}"), F.max(quoted(c)).cast("double").alias(f"z{i}"))]).first()
+    for at, c in enumerate(columns):
+        i = names.index(c)
+        if not row[f"s{i}"]:
+            return df.where(F.lit(False)), []
+        mean, std = row[f"m{i}"], row[f"s{i}"]
+        df = df.where(F.abs((quoted(c) - mean) / std) < limit)
+        reach = max(abs((row[f"a{i}"] - mean) / std), abs((row[f"z{i}"] - mean) / std))
+        if row[f"n{i}"] < row["rows"] or not reach < limit * (1 - 1e-9):
+            return df, columns[at + 1:]
+    return df, []
+
+
 def drop_outliers(df: DataFrame, columns: Sequence[str], rounds: int, by_iqr: bool = False,
                   by_zscore: bool = True, distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
-    """`rounds` passes over the columns; every filter sees the statistics of what the one before left."""
+    """`rounds` passes over the columns; every filter sees the statistics of what the one before left.
+
+    With z-scores alone, one scan takes the statistics of all columns that are left; they stay right, and no new scan is
+    needed, until a filter removes rows, which the extremes tell.
+    """
+    if by_zscore and not by_iqr:
+        left = list(columns) * rounds
+        while left:
+            df, left = _zscore_scan(df, left)
+        return df
     for _ in range(rounds):
         for column in columns:
             if by_iqr:
@@ -50,36 +78,45 @@ def drop_outliers(df: DataFrame, columns: Sequence[str], rounds: int, by_iqr: bo
     return df
 
 
-def _pearson(a: Column, b: Column) -> Column:
-    """Correlation over rows that have both; null without spread, where `corr` would raise in ANSI mode."""
-    spreads = F.stddev_pop(F.when(b.isNotNull(), a)) * F.stddev_pop(F.when(a.isNotNull(), b))
-    return F.try_divide(F.covar_pop(a, b), spreads)
+def _pair_sums(rows: DataFrame, width: int) -> DataFrame:
+    """(i, j, n, a, b, aa, bb, ab) summed over the rows that have both columns; values are relative to `shift`.
 
-
-def correlations(df: DataFrame, columns: Sequence[str],
-                 pairs_per_scan: int = _PAIRS_PER_SCAN) -> dict[tuple[str, str], float | None]:
-    """Pearson correlation of every pair, in column order; rows with a null in a pair are left out of it.
-
-    Few pairs are aggregated side by side in one scan. For many, one Gram matrix gives all of them in a single
-    pass if there are no nulls; with nulls each pair has its own rows, and the pairs are aggregated in parts.
+    Each batch of rows becomes a handful of matrix products and one row a pair, whatever number of columns has nulls.
+    """
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, second = np.triu_indices(width, 1)
+        total = np.zeros((6, width, width))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            has = np.isfinite(x)
+            x, m = np.where(has, x, 0.0), has.astype(float)
+            total += [m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32)), *[pa.array(t[first, second]) for t in total]],
+            names=["i", "j", "n", "a", "b", "aa", "bb", "ab"])
+
+    parts = rows.mapInArrow(sums, "i int, j int, n double, a double, b double, aa double, bb double, ab double")
+    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
+
+
+def correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
+    """Pearson correlation of every pair, in column order, in one pass for any number of columns.
+
+    Rows with a null, NaN or infinite value in a pair are left out of it; a pair without spread has no correlation.
     """
     pairs = list(combinations(columns, 2))
     if not pairs:
         return {}
-    many = len(pairs) > pairs_per_scan
-    if many and df.where(F.greatest(*[quoted(c).isNull() for c in columns])).isEmpty():
-        doubles = df.select(*[quoted(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-        vectors = VectorAssembler(inputCols=doubles.columns, outputCol="v").transform(doubles)
-        matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-        place = {c: i for i, c in enumerate(columns)}
-        return {(a, b): None if matrix[place[a], place[b]] != matrix[place[a], place[b]]
-                else float(matrix[place[a], place[b]]) for a, b in pairs}
-    found: dict[tuple[str, str], float | None] = {}
-    for start in range(0, len(pairs), pairs_per_scan):
-        part = pairs[start:start + pairs_per_scan]
-        row = df.agg(*[_pearson(quoted(a).cast("double"), quoted(b).cast("double")).alias(f"r{i}")
-                       for i, (a, b) in enumerate(part)]).first()
-        found.update({pair: row[f"r{i}"] for i, pair in enumerate(part)})
+    numbers = [quoted(c).cast("double") for c in columns]
+    means = df.agg(*[F.avg(F.when(F.abs(x) < float("inf"), x)).alias(f"m{i}") for i, x in enumerate(numbers)]).first()
+    shifted = df.select(*[(x - F.lit(means[i] or 0.0)).alias(f"x{i}") for i, x in enumerate(numbers)])
+    found: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
+    for r in _pair_sums(shifted, len(columns)).collect():  # one row for each pair of columns
+        if r["n"] > 0:
+            spread_a, spread_b = r["aa"] - r["a"] ** 2 / r["n"], r["bb"] - r["b"] ** 2 / r["n"]
+            if spread_a > _NOTHING * r["aa"] and spread_b > _NOTHING * r["bb"]:
+                value = (r["ab"] - r["a"] * r["b"] / r["n"]) / math.sqrt(spread_a * spread_b)
+                found[columns[r["i"]], columns[r["j"]]] = max(-1.0, min(1.0, value))
     return found
 
 

@@ -162,18 +162,35 @@ def _text_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def describe_all(df: DataFrame, distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
-    """One row per column: count for all; unique, top, freq for text; mean, std, quartiles for numbers.
+    """One row per column: count for all; unique, top, freq for text, dates, times and truth values; mean, std, quartiles
+    for numbers; `earliest` and `latest`, as text, for dates and times. Of other types only the count is given.
 
     Quartiles are exact. Of equally frequent values the one with the lowest MD5 digest is `top`.
     """
     wanted = T._parse_datatype_string(
         "column string, count bigint, unique bigint, top string, freq bigint, mean double, std double, "
-        "min double, q25 double, q50 double, q75 double, max double")
-    numbers, texts = numeric_columns(df), text_columns(df)
-    parts = ([_number_rows(df, numbers, distinct_limit)] if numbers else []) + ([_text_rows(df, texts)] if texts else [])
+        "min double, q25 double, q50 double, q75 double, max double, earliest string, latest string")
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    times = [c for c, k in kinds.items() if isinstance(k, (T.DateType, T.TimestampType, T.TimestampNTZType))]
+    numbers = numeric_columns(df)
+    texts = [c for c, k in kinds.items() if isinstance(k, (T.StringType, T.BooleanType)) or c in times]
+    others = [c for c in df.columns if c not in numbers and c not in texts]
+    parts = [_number_rows(df, numbers, distinct_limit)] if numbers else []
+    if texts:
+        parts.append(_text_rows(df.select(*[quoted(c).cast("string").alias(c) for c in texts]), texts))
+    if others:
+        counts = df.agg(*[F.count(quoted(c)).alias(f"n{i}") for i, c in enumerate(others)])
+        parts.append(long_form(counts, {c: {"count": F.col(f"n{i}")} for i, c in enumerate(others)}))
     if not parts:
         return df.sparkSession.createDataFrame([], wanted)
-    result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part, allowMissingColumns=True)
+    if times:
+        ends = df.agg(*[e for i, c in enumerate(times) for e in (
+            F.min(quoted(c)).cast("string").alias(f"a{i}"), F.max(quoted(c)).cast("string").alias(f"z{i}"))])
+        ends = long_form(ends, {c: {"earliest": F.col(f"a{i}"), "latest": F.col(f"z{i}")} for i, c in enumerate(times)})
+        result = result.join(ends, "column", "left")
     return result.select(*[
         (F.col(f.name) if f.name in result.columns else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in wanted.fields])

@@ -8,14 +8,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kamienica.operators.cleanse import quoted
+from kamienica.session import settle
 
 _HASH_SPACE = 2 ** 32
+FARTHEST = 1e6  # no power is sought beyond
 
 
 def key_hash(key: Column, seed: int) -> Column:
@@ -101,15 +104,22 @@ def _power_moments(values: DataFrame, grids: Sequence[np.ndarray], means: Sequen
 
 def fit_powers(df: DataFrame, columns: Sequence[str], step: float = 1e-3) -> dict[str, float]:
     """Maximum-likelihood powers. Every pass scores a grid of powers for all columns, combined before the
-    shuffle to one row per column and power, and then narrows each column's grid around its best. From the
-    finest grid, of at most `step`, the top of the parabola through the best three is taken."""
+    shuffle to one row per column and power, and then narrows each column's grid around its best. While the best
+    lies at the edge of the grid the window moves there, twice as wide each time. From the finest grid, of at most `step`,
+    the top of the parabola through the best three is taken. A column keeps power 1 if it has no spread or only two
+    values (one power then gives the same as any other), or if no power has a finite score."""
+    def number(c: str) -> Column:
+        value = quoted(c).cast("double")
+        return F.when(F.abs(value) < math.inf, value)  # neither NaN nor infinite
+
     fitted = dict.fromkeys(columns, 1.0)
     row = df.agg(*[e for i, c in enumerate(columns) for e in (
-        F.min(quoted(c)).alias(f"a{i}"), F.max(quoted(c)).alias(f"z{i}"), F.avg(quoted(c)).alias(f"m{i}"))]).first()
-    # a column without spread has nothing to transform
-    means = {c: float(row[f"m{i}"]) for i, c in enumerate(columns) if row[f"a{i}"] != row[f"z{i}"]}
+        F.min(number(c)).alias(f"a{i}"), F.max(number(c)).alias(f"z{i}"), F.avg(number(c)).alias(f"m{i}"))]).first()
+    between = df.agg(F.lit(0), *[F.count_if((number(c) > row[f"a{i}"]) & (number(c) < row[f"z{i}"])).alias(f"b{i}")
+                                 for i, c in enumerate(columns) if row[f"a{i}"] != row[f"z{i}"]]).first().asDict()
+    means = {c: float(row[f"m{i}"]) for i, c in enumerate(columns) if between.get(f"b{i}")}
     grids = {c: np.linspace(-4.0, 4.0, 17) for c in means}
-    values = df.select(*[quoted(c).cast("double").alias(f"x{i}") for i, c in enumerate(means)])
+    values = df.select(*[number(c).alias(f"x{i}") for i, c in enumerate(means)])
     while any(g[1] > g[0] for g in grids.values()):
         scored = {(r["i"], r["j"]): r
                   for r in _power_moments(values, list(grids.values()), list(means.values())).collect()}
@@ -121,11 +131,15 @@ def fit_powers(df: DataFrame, columns: Sequence[str], step: float = 1e-3) -> dic
                 score.append(-row["n"] / 2 * math.log(row["variance"]) + (power - 1) * row["logs"]
                              if usable else -math.inf)
             best, width = int(np.argmax(score)), grid[1] - grid[0]
-            if best in (0, len(grid) - 1):  # the optimum lies outside: move the window, same step
-                grids[c] = grid[best] + width * (np.arange(len(grid)) - len(grid) // 2)
+            if width == 0:
+                continue
+            if score[best] == -math.inf or abs(grid[best]) > FARTHEST:
+                grids[c] = np.array([fitted[c]] * 2)
+            elif best in (0, len(grid) - 1):  # the optimum lies outside: move there, with twice the step
+                grids[c] = grid[best] + 2 * width * (np.arange(len(grid)) - len(grid) // 2)
             elif width > step:
                 grids[c] = np.linspace(grid[best] - width, grid[best] + width, 17)
-            elif width > 0:
+            else:
                 left, top, right = score[best - 1:best + 2]
                 bend = left - 2 * top + right
                 fitted[c] = float(grid[best] + (width * (left - right) / (2 * bend) if bend else 0.0))
@@ -150,19 +164,25 @@ def pca_to_variance(train: DataFrame, test: DataFrame, share: float = 0.95,
                     features: str = "features") -> tuple[DataFrame, DataFrame, list[float]]:
     """Project on the fewest components that explain `share` of the variance, fitted on `train`.
 
-    One fit yields all components; the wanted ones are sliced off, so nothing is fitted twice.
+    One fit over the written vectors yields all components; the wanted ones are kept. The fit centres by itself, and a
+    projection of a row minus the projection of the mean is the projection of the centred row.
     """
-    width = len(train.select(features).first()[0])
-    fitted = Pipeline(stages=[
-        StandardScaler(inputCol=features, outputCol="_centred", withMean=True, withStd=False),
-        PCA(k=width, inputCol="_centred", outputCol="_components"),
-    ]).fit(train)
-    ratios = [float(r) for r in fitted.stages[1].explainedVariance.toArray()]
+    train, test = settle(train), settle(test)
+    first = train.select(features).first()
+    if first is None:
+        raise ValueError("no rows to fit components on")
+    width = len(first[0])
+    fitted = PCA(k=width, inputCol=features, outputCol="_components").fit(train)
+    ratios = [float(r) for r in fitted.explainedVariance.toArray()]
     k = min(int(np.argmax(np.cumsum(ratios) >= share - 1e-12)) + 1, width)
-    slicer = VectorSlicer(inputCol="_components", outputCol="_kept", indices=list(range(k)))
+    mean = train.select(Summarizer.mean(F.col(features))).first()[0].toArray()
+    loads = fitted.pc.toArray()[:, :k]
+    shift = F.lit(mean @ loads)  # `width` numbers at most
 
     def project(df: DataFrame) -> DataFrame:
         kept = [c for c in df.columns if c != features]
-        return slicer.transform(fitted.transform(df)).select(*kept, F.col("_kept").alias(features))
+        values = F.slice(vector_to_array("_components"), 1, k)
+        return fitted.transform(df).select(*kept, array_to_vector(
+            F.zip_with(values, shift, lambda x, m: x - m)).alias(features))
 
     return project(train), project(test), ratios

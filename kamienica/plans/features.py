@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kamienica.functions import rules
 from kamienica.operators import encode, neighbours, outliers, profile, scale
@@ -16,7 +17,10 @@ from kamienica.session import settle
 
 @dataclass(frozen=True)
 class FeatureConfig:
-    """What `build_features` does; a step is left out by its empty, None or False setting."""
+    """What `build_features` does; a step is left out by its empty, None or False setting.
+
+    `outlier_columns` None stands for `measured_columns`.
+    """
 
     key: str
     target: str = rules.TARGET_COLUMN
@@ -53,38 +57,77 @@ class Features:
 
 
 def prepare_types(clean: DataFrame) -> DataFrame:
-    """Drop rows without area or floor, drop unused columns, give numbers and dates their types."""
+    """Drop rows without area or floor, drop unused columns, give numbers, dates and categories their types."""
     df = profile.drop_rows_missing(clean, rules.REQUIRED_COLUMNS)
     df = profile.drop_columns(df, rules.UNUSED_COLUMNS)
-    return profile.cast_columns(df, {
-        "liczba_pokoi": "unsigned", "ktore_pietro": "bigint", "ile_pieter": "bigint",
-        "czynsz": "decimal comma", "rok_budowy": "bigint", "dostepne_od": "date"})
+    kinds = {"liczba_pokoi": "unsigned", "ktore_pietro": "bigint", "ile_pieter": "bigint", "czynsz": "decimal comma",
+             "rok_budowy": "bigint", "dostepne_od": "date", **dict.fromkeys(rules.CATEGORY_COLUMNS, "string"),
+             **dict.fromkeys((*rules.LOCATION_COLUMNS, rules.TARGET_COLUMN), "double")}
+    return profile.cast_columns(df, {c: kind for c, kind in kinds.items() if c in df.columns})
 
 
 def impute_nulls(df: DataFrame, key: str, on: Sequence[str], columns: Sequence[str] | None = None, k: int = 5,
                  text_mode: str = "mean", numbers_as_codes: bool = False) -> DataFrame:
     """Fill every column with nulls from its nearest rows. The columns of `on` come first and then stay.
 
-    Text goes through first-seen codes and back; the averaged code is cut to a whole one. With
-    `numbers_as_codes` numbers are coded the same way and keep the codes.
+    The others do not depend on each other then: each is imputed into a narrow table (key, value), and all are joined to
+    the table once. Text goes through first-seen codes and back; the averaged code is cut to a whole one. With
+    `numbers_as_codes` numbers are coded the same way and keep the codes. A column without any value stays empty.
     """
     missing = set(profile.columns_with_nulls(df))
     kinds = {f.name: f.dataType.typeName() for f in df.schema.fields}
     usable = {*profile.numeric_columns(df), *(c for c, kind in kinds.items() if kind in ("string", "date"))} - {key}
     wanted = [c for c in (columns if columns is not None else df.columns) if c in missing & usable]
-    for column in sorted(wanted, key=lambda c: c not in on):
-        others = [c for c in on if c != column]
-        if kinds[column] in ("string", "date") or (numbers_as_codes and column not in on):
-            known = df.where(quoted(column).isNotNull())
-            dictionary = encode.first_seen_dictionary(known, column, key)
-            coded = encode.encode(df, column, dictionary)
-            df = neighbours.knn_impute(coded, key, column, others, k, mode=text_mode, truncate=True)
+    values = df.agg(F.lit(0), *[F.count(quoted(c)).alias(c) for c in wanted]).first().asDict()
+    wanted = [c for c in wanted if values[c]]
+    for column in [c for c in wanted if c in on]:
+        df = settle(neighbours.knn_impute(df, key, column, [c for c in on if c != column], k))
+    narrow: dict[str, DataFrame] = {}
+    for column in [c for c in wanted if c not in on]:
+        rows = df.select(quoted(key), quoted(column), *[quoted(c) for c in on])
+        if kinds[column] in ("string", "date") or numbers_as_codes:
+            dictionary = encode.first_seen_dictionary(rows.where(quoted(column).isNotNull()), column, key)
+            coded = encode.encode(rows, column, dictionary)
+            found = neighbours.knn_values(coded, key, column, on, k, mode=text_mode)
+            found = found.withColumn("value", F.col("value").cast("bigint"))
             if kinds[column] in ("string", "date"):
-                df = encode.decode(df, column, dictionary)
+                found = encode.decode(found, "value", dictionary)
+            else:  # known values become codes as well
+                found = found.unionByName(coded.where(quoted(column).isNotNull()).select(
+                    quoted(key).alias("query"), quoted(column).alias("value")))
         else:
-            df = neighbours.knn_impute(df, key, column, others, k)
-        df = settle(df)
-    return df
+            found = neighbours.knn_values(rows, key, column, on, k)
+        narrow[column] = found
+    if not narrow:
+        return df
+    for i, found in enumerate(narrow.values()):
+        df = df.join(found.withColumnsRenamed({"query": f"_query{i}", "value": f"_value{i}"}),
+                     quoted(key) == F.col(f"_query{i}"), "left").drop(f"_query{i}")
+    place = {c: f"_value{i}" for i, c in enumerate(narrow)}
+
+    def filled(c: str) -> Column:
+        if c not in place:
+            return quoted(c)
+        new = F.col(place[c])
+        return (F.coalesce(new, quoted(c)) if numbers_as_codes else F.coalesce(quoted(c), new)).alias(c)
+
+    return settle(df.select(*[filled(c) for c in kinds]))
+
+
+def measured_columns(df: DataFrame, target: str) -> list[str]:
+    """Numeric columns whose spread says something about outliers: fractions and the known measures, the target included.
+
+    Counts, indicators, codes and ids are whole numbers and left out: a token that few rows have would put exactly those
+    rows beyond any limit. So are columns without spread.
+    """
+    named = {*rules.MEASURE_COLUMNS, target}
+    found = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and (
+        f.name in named or isinstance(f.dataType, (T.FractionalType, T.DecimalType))
+        and f.name not in rules.LOCATION_COLUMNS)]
+    if not found:
+        return []
+    row = df.agg(*[(F.min(quoted(c)) < F.max(quoted(c))).alias(f"s{i}") for i, c in enumerate(found)]).first()
+    return [c for i, c in enumerate(found) if row[i]]
 
 
 def build_features(df: DataFrame, config: FeatureConfig) -> Features:
@@ -98,9 +141,11 @@ def build_features(df: DataFrame, config: FeatureConfig) -> Features:
                           config.neighbours, config.text_mode, config.numbers_as_codes)
     numbers = [c for c in profile.numeric_columns(df) if c != config.key]
     if config.by_zscore or config.by_iqr:
-        df = outliers.drop_outliers(
-            df, numbers if config.outlier_columns is None else config.outlier_columns,
-            config.rounds, config.by_iqr, config.by_zscore)
+        chosen = measured_columns(df, config.target) if config.outlier_columns is None else config.outlier_columns
+        had_rows = not df.isEmpty()
+        df = outliers.drop_outliers(df, chosen, config.rounds, config.by_iqr, config.by_zscore)
+        if had_rows and df.isEmpty():
+            raise ValueError(f"the outlier filters on {', '.join(chosen)} leave no row")
     if config.drop_correlated:
         surplus = outliers.correlated_columns(df, config.correlation, numbers)
         df = df.drop(*[c for c in surplus if c != config.target])

@@ -14,7 +14,7 @@ from pyspark.ml.regression import (
     RandomForestRegressor,
 )
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kamienica import schema
@@ -22,15 +22,16 @@ from kamienica.operators.neighbours import KNNRegressor
 from kamienica.operators.scale import with_fold
 
 SEED = 123
+DEEPEST = 30  # the deepest trees Spark grows; the compared models have no limit of their own
 
 
-def regressors(key: str, seed: int = SEED, trees: int = 100, bags: int = 10, depth: int = 10,
+def regressors(key: str, seed: int = SEED, trees: int = 100, bags: int = 10, depth: int = DEEPEST,
                rounds: int = 100) -> dict[str, Estimator]:
     """The compared models by their short names."""
     return {
         "LR": LinearRegression(),
         "KNN": KNNRegressor(keyCol=key, k=5),
-        "DTC": DecisionTreeRegressor(seed=seed, maxDepth=depth),
+        "DTC": DecisionTreeRegressor(seed=seed, maxDepth=depth, maxMemoryInMB=512),
         "RF": RandomForestRegressor(seed=seed, numTrees=trees, maxDepth=depth),
         "XGB": GBTRegressor(seed=seed, maxIter=rounds, maxDepth=3, stepSize=0.1),
         "BagR": RandomForestRegressor(seed=seed, numTrees=bags, maxDepth=depth, featureSubsetStrategy="all"),
@@ -81,9 +82,11 @@ def record_runs(spark: SparkSession, runs: list[Run], path: str, table: str = "r
 
 
 def best_runs(spark: SparkSession, path: str, table: str = "runs") -> DataFrame:
-    """The recorded runs of a table, each name's best score first in `place`."""
+    """Each model name's best score of all recorded runs; `place` 1 is the best of all."""
     runs = spark.read.schema(schema.RUNS).parquet(f"{path}/{table}")
-    return runs.groupBy("name").agg(F.max("mean_r2").alias("mean_r2"), F.count(F.lit(1)).alias("runs"))
+    best = runs.groupBy("name").agg(F.max("mean_r2").alias("mean_r2"), F.count(F.lit(1)).alias("runs"))
+    # as many rows as there are model names
+    return best.withColumn("place", F.row_number().over(Window.orderBy(F.desc_nulls_last("mean_r2"), "name")))
 
 
 def r2(predicted: DataFrame, label: str = "label", prediction: str = "prediction") -> float:

@@ -32,7 +32,8 @@ def scratch_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     shared = tempfile.mkdtemp(prefix="kamienica-")
     spark.conf.set("spark.checkpoint.dir", shared)
@@ -49,12 +50,3 @@ def settle(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(spark).rstrip('/')}/kamienica-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(df: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Deal rows out to `tasks` tasks if the table has fewer files than that; otherwise nothing moves.
-
-    For work that costs far more per row than moving the row, over tables written as a few small files.
-    """
-    tasks = tasks or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(tasks) if len(df.inputFiles()) < tasks else df

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,26 +17,37 @@ def latest_rows(df: DataFrame, by: Column) -> DataFrame:
 
 
 def latest_files(spark: SparkSession, path: str, without: str | None = None) -> DataFrame:
-    """Rows of the most recently written Parquet file under `path`.
+    """All rows of the most recently written folder of Parquet files under `path`, or of a file that stands alone.
 
-    `without` skips files whose path contains that text. Files are found by listing metadata columns, so only
-    the file of the newest time is read for its rows.
+    A snapshot is a folder with any number of parts, so files are grouped by the folder they lie in. `without` skips
+    files whose path below `path` contains that text. Only the listing is read to choose.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
         "recursiveFileLookup", "true").load(path).select("path", "modificationTime")
     if without:
         files = files.where(~F.contains("path", F.lit(without)))
-    newest = files.orderBy(F.desc("modificationTime"), F.desc("path")).limit(1).collect()
+    folder = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
+    newest = (files.groupBy(folder.alias("folder")).agg(F.max("modificationTime").alias("time"))
+              .orderBy(F.desc("time"), F.desc("folder")).limit(1).collect())
     if not newest:
         raise FileNotFoundError(f"no matching Parquet file under {path}")
-    return spark.read.parquet(newest[0]["path"])
+    return spark.read.option("recursiveFileLookup", "false").parquet(newest[0]["folder"])
 
 
 def latest_partition(spark: SparkSession, path: str, column: str = "snapshot") -> DataFrame:
-    """Rows of the highest value of a partition column; the other partitions are not opened."""
+    """Rows of the highest value of a partition column; the other partitions are not opened.
+
+    The values come from the names of the partition folders: the file paths of the metadata column are read, no data
+    column, and the filter on the one value found prunes all other partitions.
+    """
     table = spark.read.parquet(path)
-    newest = table.agg(F.max(column)).first()[0]
-    return table.where(F.col(column) == F.lit(newest))
+    pattern = f"[/]{re.escape(column)}=([^/]*)/"
+    names = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option(
+        "recursiveFileLookup", "true").load(path).select(F.regexp_extract("path", pattern, 1).alias("name"))
+    kind = table.schema[column].dataType
+    value = F.url_decode(F.replace("name", F.lit("+"), F.lit("%2B"))).cast(kind)
+    newest = names.where((F.col("name") != "") & (F.col("name") != "__HIVE_DEFAULT_PARTITION__")).agg(F.max(value)).first()[0]
+    return table.where(F.col(column) == F.lit(newest).cast(kind))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None,

@@ -4,7 +4,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from kamienica.session import scratch_dir, settle, spread
+from kamienica.session import scratch_dir, settle
 from kamienica.sources import tables
 
 
@@ -80,9 +80,3 @@ def test_settle_uses_the_session_folder(spark, df):
     settled = settle(df)
     assert settled.inputFiles()[0].split("file://")[-1].startswith(folder)
     assert sorted(settled.collect()) == sorted(df.collect()) and settled.schema == df.schema
-
-
-def test_spread_only_moves_few_files(spark, df, tmp_path):
-    df.repartition(2).write.parquet(str(tmp_path / "t"))
-    table = spark.read.parquet(str(tmp_path / "t"))
-    assert spread(table, 2) is table and spread(table, 5).rdd.getNumPartitions() == 5
