@@ -219,15 +219,20 @@ def _find_anchors(buckets: int, text: str):
 
 
 def _share_anchors(table: pa.Table) -> pa.Table:
-    once, more = ([_from_six(d) for d in table.column(c).to_pylist()] for c in ("once", "more"))
-    found, counts = np.unique(np.concatenate(once + more), return_counts=True)
-    shared = np.union1d(found[counts > 1], np.concatenate(more))
-    rows = []
-    for part, *own in zip(table.column("part").to_pylist(), once, more):
-        own = np.concatenate(own)
-        own = own[np.isin(own, shared)]
-        if len(own):
-            rows.append((part, 0, _six(own)))
+    """One bucket: tells each part which of its anchors another document has; all are sorted once."""
+    own = [_from_six(o + m) for o, m in zip(table.column("once").to_pylist(), table.column("more").to_pylist())]
+    within = np.concatenate([np.repeat([False, True], [len(o) // 6, len(m) // 6])
+                             for o, m in zip(table.column("once").to_pylist(), table.column("more").to_pylist())])
+    hashes = np.concatenate(own)
+    order = np.argsort(hashes)
+    ranked = hashes[order]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    sizes = np.diff(np.append(first, len(ranked)))
+    shared = np.empty(len(hashes), bool)
+    shared[order] = np.repeat((sizes > 1) | np.logical_or.reduceat(within[order], first), sizes)
+    ends = np.cumsum([len(o) for o in own])
+    rows = [(part, 0, _six(mine[told])) for part, mine, told in zip(
+        table.column("part").to_pylist(), own, np.split(shared, ends[:-1])) if told.any()]
     return _table(rows, TOLD)
 
 
