@@ -19,6 +19,7 @@ from kamienica.operators.cleanse import quoted
 from kamienica.operators.profile import DISTINCT_LIMIT, exact_quantiles, numeric_columns
 
 _NOTHING = 1e-13  # a spread below this part of the square sum is rounding
+NARROW = 8  # columns whose pairs are still a reasonable number of built-in aggregates
 
 
 def inside_iqr(df: DataFrame, column: str, distinct_limit: int = DISTINCT_LIMIT) -> DataFrame:
@@ -99,14 +100,38 @@ def _pair_sums(rows: DataFrame, width: int) -> DataFrame:
     return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
+def _narrow_correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
+    """All pairs by built-in aggregates of one plan, without leaving the JVM."""
+    rows = df.select(*[F.when(F.abs(quoted(c).cast("double")) < math.inf, quoted(c).cast("double")).alias(f"x{i}")
+                       for i, c in enumerate(columns)])
+    pairs = list(combinations(range(len(columns)), 2))
+    wanted = [F.max(F.abs(f"x{i}")).alias(f"m{i}") for i in range(len(columns))]
+    for i, j in pairs:
+        a, b = F.col(f"x{i}"), F.col(f"x{j}")
+        wanted += [F.covar_pop(a, b).alias(f"c{i}_{j}"), F.var_pop(F.when(b.isNotNull(), a)).alias(f"a{i}_{j}"),
+                   F.var_pop(F.when(a.isNotNull(), b)).alias(f"b{i}_{j}")]
+    row = rows.agg(*wanted).first()
+    found: dict[tuple[str, str], float | None] = {}
+    for i, j in pairs:
+        spread_a, spread_b = row[f"a{i}_{j}"], row[f"b{i}_{j}"]
+        value = None
+        if spread_a is not None and spread_a > _NOTHING * row[f"m{i}"] ** 2 and spread_b > _NOTHING * row[f"m{j}"] ** 2:
+            value = max(-1.0, min(1.0, row[f"c{i}_{j}"] / math.sqrt(spread_a * spread_b)))
+        found[columns[i], columns[j]] = value
+    return found
+
+
+def correlations(df: DataFrame, columns: Sequence[str], narrow: int = NARROW) -> dict[tuple[str, str], float | None]:
     """Pearson correlation of every pair, in column order, in one pass for any number of columns.
 
-    Rows with a null, NaN or infinite value in a pair are left out of it; a pair without spread has no correlation.
+    Rows with a null, NaN or infinite value in a pair are left out of it; a pair without spread has no correlation. Up to
+    `narrow` columns are built-in aggregates of one plan; more go through matrix products.
     """
     pairs = list(combinations(columns, 2))
     if not pairs:
         return {}
+    if len(columns) <= narrow:
+        return _narrow_correlations(df, columns)
     numbers = [quoted(c).cast("double") for c in columns]
     means = df.agg(*[F.avg(F.when(F.abs(x) < float("inf"), x)).alias(f"m{i}") for i, x in enumerate(numbers)]).first()
     shifted = df.select(*[(x - F.lit(means[i] or 0.0)).alias(f"x{i}") for i, x in enumerate(numbers)])

@@ -109,7 +109,9 @@ def impute_nulls(df: DataFrame, key: str, on: Sequence[str], columns: Sequence[s
         if c not in place:
             return quoted(c)
         new = F.col(place[c])
-        return (F.coalesce(new, quoted(c)) if numbers_as_codes else F.coalesce(quoted(c), new)).alias(c)
+        if numbers_as_codes and kinds[c] not in ("string", "date"):
+            return new.alias(c)  # codes of all rows, the known ones included
+        return F.coalesce(quoted(c), new).alias(c)
 
     return settle(df.select(*[filled(c) for c in kinds]))
 

@@ -97,12 +97,12 @@ def test_pca_keeps_the_share(spark):
     rows = scale.assemble(spark.createDataFrame(pdf), ["a", "b", "c"], "y", ["id"])
     train, test = scale.hash_split(rows, "id")
     projected, held_out, ratios = scale.pca_to_variance(train, test, 0.95)
-    matrix = np.array([r["features"].toArray() for r in train.collect()])
+    matrix = np.array([r["features"].toArray() for r in train.orderBy("id").collect()])
     centred = matrix - matrix.mean(axis=0)
     values, vectors = np.linalg.eigh(np.cov(centred.T))
     assert ratios == pytest.approx(sorted(values / values.sum(), reverse=True), abs=1e-9)
     k = int(np.argmax(np.cumsum(ratios) >= 0.95)) + 1
-    got = np.array([r["features"].toArray() for r in projected.collect()])
+    got = np.array([r["features"].toArray() for r in projected.orderBy("id").collect()])
     assert got.shape == (train.count(), k) and held_out.count() == test.count()
     want = centred @ vectors[:, ::-1][:, :k]
     assert np.allclose(np.abs(got), np.abs(want))
