@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import table
-from kamienica.llm import (chat, mixing, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
+from kamienica.llm import (chat, filter_audit, mixing, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
                            url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     both = sentencepiece_codec.encode_and_decode(docs, path)
     return both.select("doc_id", "n_pieces", F.sha2(F.concat_ws(",", "pieces"), 256).alias("ids_sha256"),
                        F.xxhash64("decoded").alias("decoded_hash"), F.expr("decoded <=> text").alias("round_trip"))
+
+
+@query("op12_filter_audit", filter_audit.QUERY_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
