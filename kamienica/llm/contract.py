@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import table
-from kamienica.llm import (chat, filter_audit, mixing, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
+from kamienica.llm import (chat, collocations, filter_audit, mixing, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
                            url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -93,3 +93,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op12_filter_audit", filter_audit.QUERY_SQL)
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op13_collocations", collocations.QUERY_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
