@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import table
-from kamienica.llm import (chat, collocations, filter_audit, mixing, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
+from kamienica.llm import (chat, collocations, filter_audit, mixing, ngram_lm, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
                            url_filter)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,9 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_collocations", collocations.QUERY_SQL)
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return collocations.collocations(table(spark, folder, "documents"))
+
+
+@query("op11_lm_scores")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+    return ngram_lm.score(table(spark, folder, "documents"), held_out)
