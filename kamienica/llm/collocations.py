@@ -9,13 +9,15 @@ mass (occurrences) it adds to each part. A part reads all masses first and then
 whose capacity exceeds mass / `least`: what is taken off all counters is then less than `least`, so that every frequent
 n-gram survives, whatever order sums come in. Counters that cannot reach `least`, even with all that was taken off, are left
 out. Three rounds are made: words; pairs of surviving words; three to five words all of whose pairs survived. Survivors reach
-the next round as a bitmap of bounded size: a false hit costs work, never a result.
+the next round as a bitmap of bounded size: a false hit costs work, never a result. The third round also gathers the words of
+surviving pairs, for only these are ever a part of a phrase.
 
 Second pass. N-grams that survive (and all of whose parts do) are counted with their texts, exactly, by language and phrase;
 within a task they are told apart by 128 bits of hashes, across tasks by their texts.
 
-What is held: sums of a block in a task, one summary of `PART_MASS / least` counters (more where one n-gram alone is heavier)
-and the bitmap of at most MOST_BITS. No step gathers a language or a hot phrase in one task; the final ranks come from the
+What is held: sums of a block in a task, one summary of mass / `least` counters for each part and the bitmap of at most
+MOST_BITS. Parts hold about PART_MASS occurrences; beyond MOST_PARTS of them, parts grow instead, as every block tells every
+part its mass. No step gathers a language or a hot phrase in one task; the final ranks come from the
 best of salted shares of a language.
 
 Defined cases: a null text is empty; a null language is `und`; empty tables and tables without frequent phrases give an empty
@@ -38,9 +40,9 @@ from kamienica.session import settle
 
 BREAKS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 LONGEST = 5
-BLOCK = 4 << 20  # bytes of text handled at a time
+BLOCK = 2 << 20  # bytes of text handled at a time
 SUMS = 1 << 20  # distinct n-grams a task sums up before it sends them
-PART_MASS = 4_000_000  # occurrences a part is meant for
+PART_MASS, MOST_PARTS = 1_000_000, 1 << 15  # occurrences a part is meant for, and how many parts there may be
 BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 15, 1 << 28
 BUCKET = 1 << 15  # bits in a row of the bitmap
 SALTS = 32
@@ -123,8 +125,18 @@ def kept_grams(words: Words, langs: np.ndarray, wanted: tuple[int, int], known:
 SUMMED = "part int, hash long, n long"
 
 
-def _sums(wanted: tuple[int, int], known, upto: int, parts: int) -> Callable:
-    """Sums by hash of what each block holds; a row without hash tells the mass that goes to a part."""
+def words_of_pairs(words: Words, langs: np.ndarray, known: Bitmap) -> np.ndarray:
+    """Hashes of the words in surviving pairs."""
+    (_, single, _), (_, _, pair) = kept_grams(words, langs, (1, 2), known, 2)
+    inside = np.zeros(len(words), bool)
+    inside[:-1] |= pair
+    inside[1:] |= pair
+    return np.unique(single[inside])
+
+
+def _sums(wanted: tuple[int, int], known, upto: int, parts: int, with_words: bool) -> Callable:
+    """Sums by hash of what each block holds; a row without hash tells the mass that goes to a part. Negative parts get the
+    words of surviving pairs."""
     def flush(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         part = (keys % np.uint64(parts)).astype(np.int32)
         masses = np.bincount(part, counts, minlength=parts).astype(np.int64)
@@ -140,7 +152,13 @@ def _sums(wanted: tuple[int, int], known, upto: int, parts: int) -> Callable:
         hashers = (Hasher(1),)
         bitmap = known.value if known is not None else None
         keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
+        needed = np.empty(0, np.uint64)
         for words, lang_hash, _ in blocks(batches, hashers):
+            if with_words and len(words):
+                needed = np.union1d(needed, words_of_pairs(words, lang_hash, bitmap))
+                if len(needed) >= SUMS:
+                    yield needed_rows(needed)
+                    needed = needed[:0]
             found = [h[ok] for _, h, ok in kept_grams(words, lang_hash, wanted, bitmap, upto)]
             new = np.concatenate([np.empty(0, np.uint64), *found])
             new, sums = add_up(new, np.ones(len(new), np.int64))
@@ -150,6 +168,13 @@ def _sums(wanted: tuple[int, int], known, upto: int, parts: int) -> Callable:
                 keys, counts = keys[:0], counts[:0]
         if len(keys):
             yield from flush(keys, counts)
+        if len(needed):
+            yield needed_rows(needed)
+
+    def needed_rows(needed: np.ndarray) -> pa.RecordBatch:
+        part = -1 - (needed % np.uint64(parts)).astype(np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(part), pa.array(needed.view(np.int64)),
+                                           pa.array(np.zeros(len(needed), np.int64))], names=["part", "hash", "n"])
     return run
 
 
@@ -180,9 +205,9 @@ class MisraGries:
 
 def _survivors(least: int) -> Callable:
     """(hash, most): what may have `least` occurrences and how many at most; a row without hash has the mass of a part. Rows
-    come by part, masses first."""
+    come by part, masses first. Words of pairs pass with most = 0."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, mass, summary = None, 0, None
+        part, mass, summary, needed = None, 0, None, np.empty(0, np.uint64)
 
         def close() -> pa.RecordBatch:
             keys, most = np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -190,6 +215,8 @@ def _survivors(least: int) -> Callable:
                 summary.settle()
                 keys, most = summary.keys, summary.counts + summary.taken
             may = most >= least
+            if part < 0:
+                keys, most, may = needed, np.zeros(len(needed), np.int64), np.ones(len(needed), bool)
             return pa.RecordBatch.from_arrays(
                 [pa.array([*keys[may].view(np.int64).tolist(), None], pa.int64()), pa.array([*most[may].tolist(), mass], pa.int64())],
                 names=["hash", "most"])
@@ -203,8 +230,11 @@ def _survivors(least: int) -> Callable:
                 if parts[a] != part:
                     if part is not None:
                         yield close()
-                    part, mass, summary = parts[a], 0, None
+                    part, mass, summary, needed = parts[a], 0, None, needed[:0]
                 rows = batch.slice(a, b - a)
+                if part < 0:
+                    needed = np.union1d(needed, rows.column(1).to_numpy().view(np.uint64))
+                    continue
                 heads = rows.column(1).null_count  # masses come first
                 mass += int(rows.column(2).to_numpy()[:heads].sum())
                 if heads < b - a:
@@ -217,15 +247,17 @@ def _survivors(least: int) -> Callable:
 
 
 def survivors(texts: DataFrame, wanted: tuple[int, int], known: Bitmap | None, upto: int, mass: int, least: int,
-              part_mass: int = PART_MASS) -> tuple[DataFrame, int]:
-    """(hash) of all n-grams of `wanted` lengths that may be frequent, written, and their mass. `mass` is an estimate that
-    only sets the number of parts."""
+              part_mass: int = PART_MASS, with_words: bool = False) -> tuple[DataFrame, DataFrame, int]:
+    """(hash) of all n-grams of `wanted` lengths that may be frequent, (hash) of the words of surviving pairs, both of one
+    written table, and the mass. The given `mass` is an estimate that only sets the number of parts."""
     shared = texts.sparkSession.sparkContext.broadcast(known) if known is not None else None  # MOST_BITS at most
-    sums = texts.mapInArrow(_sums(wanted, shared, upto, max(1, -(-mass // part_mass))), SUMMED)
-    dealt = sums.repartition("part").sortWithinPartitions("part", F.col("hash").isNotNull())
+    parts = max(1, min(MOST_PARTS, -(-mass // part_mass)))
+    sums = texts.mapInArrow(_sums(wanted, shared, upto, parts, with_words), SUMMED)
+    dealt = sums.repartition(parts, "part").sortWithinPartitions("part", F.col("hash").isNotNull())
     found = settle(dealt.mapInArrow(_survivors(least), "hash long, most long"))
     total = found.where("hash IS NULL").agg(F.sum("most")).first()[0] or 0
-    return found.where("hash IS NOT NULL").select("hash"), total
+    named = found.where("hash IS NOT NULL")
+    return named.where("most > 0").select("hash"), named.where("most = 0").select("hash"), total
 
 
 EXACT = "lang string, phrase binary, words int, n long"
@@ -269,14 +301,15 @@ def _exact(known) -> Callable:
 
 def frequent(docs: DataFrame, least: int = 100, text: str = "text", lang: str = "lang",
              part_mass: int = PART_MASS, most_bits: int = MOST_BITS) -> DataFrame:
-    """(lang, phrase, words, n), written: every n-gram of 1 to 5 words with `least` occurrences or more, and for words = 0 the
-    number of all words of a language."""
+    """(lang, phrase, words, n), written: every n-gram of 2 to 5 words with `least` occurrences or more, every word of one, and
+    for words = 0 the number of all words of a language."""
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
                         F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    single, mass = survivors(texts, (1, 1), None, 0, size // 5, least, part_mass)
-    pairs, mass = survivors(texts, (2, 2), bitmap_of(single, most_bits), 1, mass, least, part_mass)
-    longer, _ = survivors(texts, (3, LONGEST), bitmap_of(single.unionAll(pairs), most_bits), 2, mass, least, part_mass)
+    single, _, mass = survivors(texts, (1, 1), None, 0, size // 5, least, part_mass)
+    pairs, _, mass = survivors(texts, (2, 2), bitmap_of(single, most_bits), 1, mass, least, part_mass)
+    longer, single, _ = survivors(texts, (3, LONGEST), bitmap_of(single.unionAll(pairs), most_bits), 2, mass, least, part_mass,
+                                  with_words=True)
     known = docs.sparkSession.sparkContext.broadcast(bitmap_of(single.unionAll(pairs).unionAll(longer), most_bits))
     counted = texts.mapInArrow(_exact(known), EXACT).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return settle(counted.where((F.col("n") >= least) | (F.col("words") == 0))
