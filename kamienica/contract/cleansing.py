@@ -1,11 +1,16 @@
 """Cleansing operators on stand-in columns, and the whole chain on listings derived from `part`."""
 
+import uuid
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import query, table
 from kamienica.functions import rules, text
-from kamienica.operators import cleanse
+from kamienica.operators import cleanse, dictionaries, sparse
 from kamienica.plans import clean
+from kamienica.session import scratch_dir
 
 FLOORS_SQL = """CASE p_type WHEN 'PROMO' THEN 'parter/' || p_size WHEN 'SMALL' THEN '> 10/' || p_size
     WHEN 'STANDARD' THEN 'Poddasze' WHEN 'ECONOMY' THEN 'Zapytaj' WHEN 'MEDIUM' THEN p_size || '/60 '
@@ -191,6 +196,98 @@ def token_counts(spark, folder):
     return cleanse.token_counts(_doubled(table(spark, folder, "part")), "p_partkey", ["p_name"], " ")
 
 
+_SPARSE = """
+    WITH t AS (SELECT doc_id, unnest(string_split(text, ' ')) AS token FROM documents WHERE text IS NOT NULL),
+         d AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS code FROM (SELECT DISTINCT token FROM t)),
+         c AS (SELECT doc_id, token, code, count(*) AS n FROM t JOIN d USING (token) GROUP BY ALL)"""
+
+
+def _document_words(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return docs, sparse.token_dictionary(cleanse.scan_vocabulary(docs, {"text": None}, " "))
+
+
+@query("sparse_tokens", _SPARSE + """
+    SELECT doc_id, count(*) AS kinds, sum(n)::BIGINT AS tokens, min(code) AS first_code, max(code) AS last_code,
+           sum(code * n)::BIGINT AS checksum FROM c GROUP BY doc_id""")
+def sparse_tokens(spark, folder):
+    """Every word of the documents is a token: a vocabulary far beyond what could be columns."""
+    docs, dictionary = _document_words(spark, folder)
+    pairs = sparse.multi_hot_pairs(docs, "doc_id", ["text"], dictionary, separator=" ")
+    return pairs.select("doc_id", F.size("tokens").cast("bigint").alias("kinds"),
+                        F.expr("aggregate(tokens, 0L, (s, p) -> s + p.n)").alias("tokens"),
+                        F.expr("tokens[0].code").alias("first_code"), F.expr("element_at(tokens, -1).code").alias("last_code"),
+                        F.expr("aggregate(tokens, 0L, (s, p) -> s + p.code * p.n)").alias("checksum"))
+
+
+@query("sparse_vectors", _SPARSE + """
+    SELECT token, sum(n)::BIGINT AS total, count(*) AS docs FROM c GROUP BY token""")
+def sparse_vectors(spark, folder):
+    """The same as feature vectors, summed up by Spark ML: how often each token occurs, and in how many documents."""
+    docs, dictionary = _document_words(spark, folder)
+    vectors = sparse.multi_hot(docs, "doc_id", ["text"], dictionary, separator=" ")
+    sums = vectors.select(Summarizer.metrics("sum", "numNonZeros").summary(F.col("tokens")).alias("s"))
+    by_code = sums.select(F.arrays_zip(vector_to_array("s.sum").alias("total"), vector_to_array("s.numNonZeros").alias("docs"))
+                          .alias("z")).select(F.posexplode("z").alias("code", "z"))
+    return by_code.join(dictionary, "code").select("token", F.round("z.total").cast("bigint").alias("total"),
+                                                   F.round("z.docs").cast("bigint").alias("docs"))
+
+
+@query("sparse_one_hot", """
+    WITH p AS (SELECT 'c_mktsegment' AS source, c_mktsegment AS token, c_custkey FROM customer
+               UNION ALL SELECT 'c_name', c_name, c_custkey FROM customer),
+         d AS (SELECT source, token, row_number() OVER (ORDER BY source, token) - 1 AS code FROM (
+               SELECT DISTINCT source, token FROM p QUALIFY token > min(token) OVER (PARTITION BY source)))
+    SELECT c.c_custkey, count(d.code) AS entries, min(d.code) AS first_code, max(d.code) AS last_code
+    FROM customer c JOIN p USING (c_custkey) LEFT JOIN d USING (source, token) GROUP BY c.c_custkey""")
+def sparse_one_hot(spark, folder):
+    """A category of its own for every customer."""
+    rows = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_name")
+    dictionary = sparse.category_dictionary(rows, ["c_mktsegment", "c_name"])
+    pairs = sparse.one_hot_pairs(rows, "c_custkey", ["c_mktsegment", "c_name"], dictionary)
+    return pairs.select("c_custkey", F.size("categories").cast("bigint").alias("entries"),
+                        F.get("categories", 0)["code"].alias("first_code"),
+                        F.when(F.size("categories") > 0, F.element_at("categories", -1)["code"]).alias("last_code"))
+
+
+_EARLY = "TIMESTAMP '1996-01-01'"
+
+
+@query("stable_codes", f"""
+    WITH a AS (SELECT o_custkey, row_number() OVER (ORDER BY min(o_orderkey)) - 1 AS code FROM orders
+               WHERE o_orderdate < {_EARLY} GROUP BY o_custkey),
+         b AS (SELECT o_custkey, row_number() OVER (ORDER BY min(o_orderkey)) - 1 + (SELECT count(*) FROM a) AS code FROM orders
+               WHERE o_custkey NOT IN (SELECT o_custkey FROM a) GROUP BY o_custkey)
+    SELECT o_custkey, code, 1 AS version FROM a UNION ALL SELECT o_custkey, code, 2 FROM b""")
+def stable_codes(spark, folder):
+    """First-seen codes over two snapshots: early orders, then all."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    path = f"{scratch_dir(spark)}/codes-{uuid.uuid4().hex}"
+    dictionaries.extend_dictionary(orders.where(f"o_orderdate < {_EARLY}"), path, 1, ["o_custkey"], "o_orderkey")
+    return dictionaries.extend_dictionary(orders, path, 2, ["o_custkey"], "o_orderkey")
+
+
+@query("stable_tokens", """
+    WITH t AS (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS token FROM part),
+         a AS (SELECT token, row_number() OVER (ORDER BY token) - 1 AS code
+               FROM (SELECT DISTINCT token FROM t WHERE p_partkey % 97 = 5)),
+         b AS (SELECT token, row_number() OVER (ORDER BY token) - 1 + (SELECT count(*) FROM a) AS code
+               FROM (SELECT DISTINCT token FROM t WHERE token NOT IN (SELECT token FROM a))),
+         d AS (SELECT * FROM a UNION ALL SELECT * FROM b),
+         c AS (SELECT p_partkey, code, count(*) AS n FROM t JOIN d USING (token) GROUP BY ALL)
+    SELECT p_partkey, sum(code * n)::BIGINT AS checksum, max(code) AS last_code FROM c GROUP BY p_partkey""")
+def stable_tokens(spark, folder):
+    """Count vectors over a vocabulary that a second snapshot extends: codes of the first one stay."""
+    part = table(spark, folder, "part").select("p_partkey", "p_name")
+    path = f"{scratch_dir(spark)}/codes-{uuid.uuid4().hex}"
+    for version, rows in enumerate((part.where("p_partkey % 97 = 5"), part), 1):
+        words = cleanse.scan_vocabulary(rows, {"p_name": None}, " ")
+        dictionary = dictionaries.extend_dictionary(words, path, version, ["source", "token"])
+    pairs = sparse.multi_hot_pairs(part, "p_partkey", ["p_name"], dictionary, separator=" ")
+    return pairs.select("p_partkey", F.expr("aggregate(tokens, 0L, (s, p) -> s + p.code * p.n)").alias("checksum"),
+                        F.expr("element_at(tokens, -1).code").alias("last_code"))
+
+
 @query("multi_hot_join", f"""
     SELECT p_partkey, p_type, token, n FROM part JOIN (
         SELECT p_partkey, token, count(*) AS n

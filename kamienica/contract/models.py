@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from kamienica.contract.registry import query, table
 from kamienica.operators import encode, neighbours, scale
+from kamienica.operators.boosting import AdaBoostR2
+from kamienica.operators.sgd import SGDRegressor
 from kamienica.plans import models
 
 
@@ -76,7 +78,7 @@ def _by_nation(name, **params):
     """Predictions of a compared model with its full settings; `params` only switch off what SQL cannot follow."""
     def run(spark, folder):
         train, test = _nations(spark, folder)
-        estimator = models.regressors("c_custkey")[name]
+        estimator = {**models.regressors("c_custkey"), "ridge": models.ridge_regression()}[name]
         return estimator.fit(train, {estimator.getParam(p): v for p, v in params.items()}).transform(test).select(
             "c_custkey", F.round("prediction", 6).alias("prediction"))
     return run
@@ -90,7 +92,62 @@ query("model_XGB", _GROUP_MEAN)(_by_nation("XGB", maxDepth=30))
 query("model_SGD", _NATION.format(value="intercept + slope * c_nationkey", more=""", (
         SELECT slope, my - slope * mx AS intercept FROM (
             SELECT avg(c_nationkey) AS mx, avg(c_acctbal) AS my, covar_pop(c_nationkey, c_acctbal)
-                   / (var_pop(c_nationkey) + 1e-4 / stddev_samp(c_acctbal) * var_samp(c_nationkey)) AS slope FROM c WHERE NOT is_test))"""))(_by_nation("SGD"))
+                   / (var_pop(c_nationkey) + 1e-4 / stddev_samp(c_acctbal) * var_samp(c_nationkey)) AS slope FROM c WHERE NOT is_test))"""))(_by_nation("ridge"))
+
+
+@query("sgd_regression", """
+    WITH s AS (SELECT (l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER () AS x,
+                      (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER () AS y FROM lineitem)
+    SELECT round(regr_slope(y, x), 2) AS slope, round(regr_intercept(y, x), 2) + 0 AS intercept, round(regr_r2(y, x), 2) AS r2
+    FROM s""")
+def sgd_regression(spark, folder):
+    """Stochastic steps come within a hundredth of the closed form."""
+    rows = table(spark, folder, "lineitem").select(
+        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("id"), "l_quantity", "l_extendedprice")
+    rows = scale.assemble(scale.standard_scale(rows, ["l_quantity", "l_extendedprice"]), ["l_quantity"], "l_extendedprice", ["id"])
+    fitted = SGDRegressor(keyCol="id").fit(rows)
+    score = models.r2(fitted.transform(rows))
+    return spark.createDataFrame([(round(float(fitted.coefficients[0]), 2), round(fitted.intercept, 2) + 0.0, round(score, 2))],
+                                 "slope double, intercept double, r2 double")
+
+
+_ROUNDS = 5
+
+
+def _boosting_sql(rounds):
+    """AdaBoost.R2 with stumps on the country, round by round: weighted sums by country, the cut with the least squared error,
+    the new weights; then the weighted median."""
+    sql = """
+    WITH c AS MATERIALIZED (SELECT c_custkey AS id, c_nationkey AS x, c_acctbal AS y, ('0x' || substr(md5(c_custkey || ':123'), 1, 8))
+                  ::BIGINT < 858993459 AS is_test FROM customer),
+         w0 AS MATERIALIZED (SELECT id, x, y, 1.0::DOUBLE AS w FROM c WHERE NOT is_test)"""
+    for r in range(rounds):
+        sql += f""",
+         g{r} AS MATERIALIZED (SELECT x, sum(w) AS w, sum(w * y) AS wy, sum(w * y * y) AS wyy FROM w{r} GROUP BY x),
+         s{r} AS MATERIALIZED (SELECT x, (x + lead(x) OVER (ORDER BY x)) / 2 AS cut, sum(w) OVER l AS lw, sum(wy) OVER l AS ly,
+                 sum(w) OVER () - sum(w) OVER l AS rw, sum(wy) OVER () - sum(wy) OVER l AS ry FROM g{r}
+                 WINDOW l AS (ORDER BY x)),
+         t{r} AS MATERIALIZED (SELECT cut, ly / lw AS below, ry / rw AS above FROM s{r} WHERE cut IS NOT NULL
+                 ORDER BY ly * ly / lw + ry * ry / rw DESC LIMIT 1),
+         e{r} AS MATERIALIZED (SELECT id, x, y, w, abs(y - CASE WHEN x <= cut THEN below ELSE above END) AS e FROM w{r}, t{r}),
+         m{r} AS MATERIALIZED (SELECT max(e) AS most, sum(w) AS total, count(*) AS n FROM e{r}),
+         b{r} AS MATERIALIZED (SELECT l / (1 - l) AS beta, ln((1 - l) / l) AS vote FROM (
+                 SELECT sum(w * e / most) / any_value(total) AS l FROM e{r}, m{r})),
+         w{r + 1} AS MATERIALIZED (SELECT id, x, y, w * n / total * pow(beta, 1 - e / most) AS w FROM e{r}, m{r}, b{r})"""
+    every = " UNION ALL ".join(
+        f"SELECT c.id, CASE WHEN x <= cut THEN below ELSE above END AS p, vote FROM c, t{r}, b{r} WHERE is_test" for r in range(rounds))
+    return sql + f""",
+         p AS ({every}),
+         q AS (SELECT id, p, sum(vote) OVER (PARTITION BY id ORDER BY p) AS upto, sum(vote) OVER (PARTITION BY id) AS votes FROM p)
+    SELECT id AS c_custkey, round(min(p), 4) AS prediction FROM q WHERE upto >= votes / 2 GROUP BY id"""
+
+
+@query("model_ABC", _boosting_sql(_ROUNDS))
+def model_abc(spark, folder):
+    train, test = _nations(spark, folder)
+    fitted = AdaBoostR2(rounds=_ROUNDS, maxDepth=1).fit(train)
+    return fitted.transform(test).select("c_custkey", F.round("prediction", 4).alias("prediction"))
+
 
 query("model_KNN", """
     WITH c AS (SELECT *, ('0x' || substr(md5(c_custkey || ':123'), 1, 8))::BIGINT < 858993459 AS is_test,

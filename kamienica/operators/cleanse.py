@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +12,7 @@ from kamienica.functions.rules import LIST_SEPARATOR
 
 # Spark's own default for the number of pivot columns.
 MAX_COLUMNS = 10_000
+RUNS = "array<struct<token: string, n: bigint>>"
 
 
 def quoted(name: str) -> Column:
@@ -83,7 +84,7 @@ def collect_vocabulary(vocabulary: DataFrame, limit: int = MAX_COLUMNS) -> list[
     """The vocabulary as sorted pairs, refusing one too wide to be columns."""
     rows = vocabulary.select("source", "token").limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} distinct tokens; use token_counts for a long result")
+        raise ValueError(f"more than {limit} distinct tokens; see operators.sparse for encodings of any width")
     return sorted((r["source"], r["token"]) for r in rows)
 
 
@@ -92,8 +93,9 @@ def multi_hot(df: DataFrame, columns: Sequence[str], vocabulary: Sequence[tuple[
               separator: str = LIST_SEPARATOR) -> DataFrame:
     """Replace list columns by one count column per vocabulary token.
 
-    Every count is computed from its own row, so there is no shuffle and no join. Rows with a null list are
-    dropped, as an inner join with the counts would, unless `keep_null_lists` is set (counts are then 0).
+    Every list is counted once, inside its own row, and the columns look into these counts, so there is no shuffle and no
+    join. Rows with a null list are dropped, as an inner join with the counts would, unless `keep_null_lists` is set (counts
+    are then 0).
     """
     if not keep_null_lists:
         present = F.lit(True)
@@ -104,14 +106,34 @@ def multi_hot(df: DataFrame, columns: Sequence[str], vocabulary: Sequence[tuple[
     pairs = sorted(vocabulary, key=lambda pair: (order[pair[0]], pair[1]))
     kept = [c for c in df.columns if c not in order]
     names = text.safe_names(kept + [t for _, t in pairs], [None] * len(kept) + [c for c, _ in pairs])
+    maps = {c: f"_counts{n}" for c, n in order.items()}
+    counted = df.select(*[quoted(c) for c in kept], *[
+        F.map_from_entries(runs_in_row(quoted(c), separator)).alias(m) for c, m in maps.items()])
     counts = []
     for (column, token), name in zip(pairs, names[len(kept):]):
-        entries = text.tokens(quoted(column), separator)
-        hits = F.size(entries) - F.size(F.array_remove(entries, token))
+        hits = F.col(maps[column])[F.lit(token)]
         if binary:
-            hits = (hits > 0).cast("int")
+            hits = (hits > 0).cast("bigint")
         counts.append(F.coalesce(hits, F.lit(0)).cast("bigint").alias(name))
-    return df.select(*[quoted(c) for c in kept], *counts)
+    return counted.select(*[quoted(c) for c in kept], *counts)
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once a row; inside lambdas Spark would compute the expression for every element."""
+    return F.transform(F.array(value), body)[0]
+
+
+def runs_in_row(column: Column, separator: str = LIST_SEPARATOR) -> Column:
+    """A list's distinct tokens in order with how often each occurs, as (token, n); null for a null list. The entries are
+    sorted, so that even a long list is gone through once."""
+    def runs(entries: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(entries)), lambda i: (i == 1) | (
+            F.get(entries, i - 1) != F.get(entries, i - 2)))
+        return _let(first, lambda at: F.transform(at, lambda i, j: F.struct(
+            F.get(entries, i - 1).alias("token"),
+            (F.coalesce(F.get(at, j + 1), F.size(entries) + 1) - i).cast("bigint").alias("n"))))
+
+    return F.when(column.isNotNull(), _let(F.sort_array(text.tokens(column, separator)), runs))
 
 
 def token_counts(df: DataFrame, key: str, columns: Sequence[str],
@@ -121,10 +143,8 @@ def token_counts(df: DataFrame, key: str, columns: Sequence[str],
     `key` identifies a row; its tokens are counted inside the row, so nothing is shuffled.
     """
     def counts_of(column: str) -> Column:
-        entries = F.coalesce(text.tokens(quoted(column), separator), F.array().cast("array<string>"))
-        return F.transform(F.array_distinct(entries), lambda t: F.struct(
-            F.lit(column).alias("source"), t.alias("token"),
-            (F.size(entries) - F.size(F.array_remove(entries, t))).cast("bigint").alias("n")))
+        return F.transform(F.coalesce(runs_in_row(quoted(column), separator), F.array().cast(RUNS)),
+                           lambda r: F.struct(F.lit(column).alias("source"), r["token"].alias("token"), r["n"].alias("n")))
 
     counts = F.flatten(F.array(*[counts_of(c) for c in columns]))
     return df.select(quoted(key), F.inline(counts))

@@ -72,17 +72,23 @@ def decode(df: DataFrame, column: str, dictionary: DataFrame, to: str | None = N
     return encode(df, column, dictionary.select(F.col("code").alias("value"), F.col("value").alias("code")), to)
 
 
+def category_pairs(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(`keep`, source, token): the values of several columns as text in one scan, distinct unless `keep` tells rows apart;
+    null is no value."""
+    pairs = df.select(*[quoted(k) for k in keep], F.explode(F.array(*[
+        F.struct(F.lit(c).alias("source"), quoted(c).cast("string").alias("token")) for c in columns
+    ])).alias("_e")).select(*[quoted(k) for k in keep], "_e.source", "_e.token").where(F.col("token").isNotNull())
+    return pairs if keep else pairs.distinct()
+
+
 def categories(df: DataFrame, columns: Sequence[str], limit: int = MAX_COLUMNS) -> dict[str, list[str]]:
     """Sorted values of several columns from one scan; refuses more than `limit` in all."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), quoted(c).cast("string").alias("value")) for c in columns
-    ])).alias("e")).select("e.*").where(F.col("value").isNotNull())
-    rows = pairs.distinct().limit(limit + 1).collect()
+    rows = category_pairs(df, columns).limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"more than {limit} categories; encode them as codes instead")
+        raise ValueError(f"more than {limit} categories; see operators.sparse for encodings of any width")
     found: dict[str, list[str]] = {c: [] for c in columns}
     for row in rows:
-        found[row["column"]].append(row["value"])
+        found[row["source"]].append(row["token"])
     return {c: sorted(values) for c, values in found.items()}
 
 

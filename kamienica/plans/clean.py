@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kamienica.functions import rules, text
-from kamienica.operators import cleanse
+from kamienica.operators import cleanse, sparse
 
 
 def listing_vocabulary(raw: DataFrame) -> DataFrame:
@@ -23,6 +23,23 @@ def clean_listings(raw: DataFrame, vocabulary: Sequence[tuple[str, str]], key: s
 
     `key` is the natural key, kept as it is; an empty string leaves it out.
     """
+    df = _cleansed(raw, key, strip_thousands, accented_keywords)
+    return cleanse.multi_hot(df, list(rules.LIST_PLACEHOLDERS), vocabulary, keep_null_lists)
+
+
+def clean_listings_wide(raw: DataFrame, dictionary: DataFrame, key: str = "ad_id", keep_null_lists: bool = False,
+                        strip_thousands: bool = False, accented_keywords: bool = False, to: str = "tokens") -> DataFrame:
+    """Cleansed listings with one sparse vector for all list columns, for vocabularies of any size.
+
+    `dictionary` has (source, token, code): `sparse.token_dictionary` of `listing_vocabulary`, or a versioned one. `key` is
+    needed and unique.
+    """
+    df = _cleansed(raw, key, strip_thousands, accented_keywords)
+    return sparse.multi_hot(df, key, list(rules.LIST_PLACEHOLDERS), dictionary, to, keep_null_lists=keep_null_lists)
+
+
+def _cleansed(raw: DataFrame, key: str, strip_thousands: bool, accented_keywords: bool) -> DataFrame:
+    """All but the list columns, which are still text."""
     df = cleanse.rename_folded(raw)
     df = cleanse.drop_null_target(df, rules.TARGET_COLUMN)
     df = cleanse.keep_containing(df, "price_currency", rules.CURRENCY)
@@ -34,11 +51,10 @@ def clean_listings(raw: DataFrame, vocabulary: Sequence[tuple[str, str]], key: s
             ((*words, value) if value not in words else words, value)
             for words, value in rules.CONDITION_KEYWORDS)
     df = cleanse.backfill_from_text(df, "opis", keyword_rules)
-    df = df.withColumns({
+    return df.withColumns({
         "ktore_pietro": text.floor_number(F.col("pietro")),
         "ile_pieter": text.floors_in_building(F.col("pietro")),
         "powierzchnia": text.parse_number(F.col("powierzchnia"), rules.AREA_UNIT, strip_thousands, "float"),
         "liczba_pokoi": text.room_count(F.col("liczba_pokoi")),
         "czynsz": text.strip_unit(F.col("czynsz"), rules.RENT_UNIT),
     }).drop("pietro")
-    return cleanse.multi_hot(df, list(rules.LIST_PLACEHOLDERS), vocabulary, keep_null_lists)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kamienica.functions import rules
-from kamienica.operators import encode, neighbours, outliers, profile, scale
-from kamienica.operators.cleanse import quoted
+from kamienica.operators import encode, neighbours, outliers, profile, scale, sparse
+from kamienica.operators.cleanse import MAX_COLUMNS, quoted
 from kamienica.session import settle
 
 
@@ -19,7 +19,8 @@ from kamienica.session import settle
 class FeatureConfig:
     """What `build_features` does; a step is left out by its empty, None or False setting.
 
-    `outlier_columns` None stands for `measured_columns`.
+    `outlier_columns` None stands for `measured_columns`. `encoding` is "one-hot", "ordinal" or "sparse"; one-hot with more
+    than `most_columns` categories is encoded as sparse. `vectors` names vector columns to be taken into the features.
     """
 
     key: str
@@ -40,6 +41,8 @@ class FeatureConfig:
     standard_scale: bool = True
     power_transform: bool = False
     encoding: str = "one-hot"
+    most_columns: int = MAX_COLUMNS
+    vectors: Sequence[str] = ()
     pca: bool = False
     pca_variance: float = 0.95
     test_share: float = 0.2
@@ -48,12 +51,14 @@ class FeatureConfig:
 
 @dataclass(frozen=True)
 class Features:
-    """Tables with the key, the vector `features` and `label`; `columns` names the vector before PCA."""
+    """Tables with the key, the vector `features` and `label`; `columns` names the vector before PCA, and `dictionary` has the
+    (source, token, code) of its last part if categories are encoded as sparse."""
 
     train: DataFrame
     test: DataFrame
     columns: list[str]
     variance: list[float] | None = None
+    dictionary: DataFrame | None = None
 
 
 def prepare_types(clean: DataFrame) -> DataFrame:
@@ -157,21 +162,28 @@ def build_features(df: DataFrame, config: FeatureConfig) -> Features:
         df = scale.standard_scale(df, numbers)
     if config.power_transform and numbers:
         df = scale.power_transform(df, scale.fit_powers(df, numbers))
-    if texts and config.encoding == "one-hot":
-        df = encode.one_hot(df, encode.categories(df, texts))
+    wide, dictionary = list(config.vectors), None
+    if texts and config.encoding in ("one-hot", "sparse"):
+        df = settle(df)
+        if config.encoding == "sparse" or encode.category_pairs(df, texts).count() > config.most_columns:
+            dictionary = sparse.category_dictionary(df, texts)
+            df = sparse.one_hot(df, config.key, texts, dictionary, "_categories")
+            wide.append("_categories")
+        else:
+            df = encode.one_hot(df, encode.categories(df, texts, config.most_columns))
     elif texts and config.encoding == "ordinal":
         df = encode.multi_column_codes(df, texts)
     columns = [c for c in profile.numeric_columns(df) if c not in (config.key, config.target)]
     # Building the features may be many joins deep; models read this table many times.
     rows = settle(df.select(quoted(config.key), *[quoted(c).cast("double").alias(c) for c in columns],
-                            quoted(config.target)))
+                            *[quoted(c) for c in wide], quoted(config.target)))
     train, test = scale.hash_split(rows, config.key, config.test_share, config.seed)
-    train = scale.assemble(train, columns, config.target, [config.key])
-    test = scale.assemble(test, columns, config.target, [config.key])
+    train = scale.assemble(train, [*columns, *wide], config.target, [config.key])
+    test = scale.assemble(test, [*columns, *wide], config.target, [config.key])
     variance = None
     if config.pca:
         train, test, variance = scale.pca_to_variance(train, test, config.pca_variance)
-    return Features(train, test, columns, variance)
+    return Features(train, test, [*columns, *wide], variance, dictionary)
 
 
 def add_missing_category(df: DataFrame, column: str) -> DataFrame:

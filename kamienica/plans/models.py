@@ -18,15 +18,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kamienica import schema
+from kamienica.operators.boosting import AdaBoostR2
 from kamienica.operators.neighbours import KNNRegressor
 from kamienica.operators.scale import with_fold
+from kamienica.operators.sgd import SGDRegressor
 
 SEED = 123
 DEEPEST = 30  # the deepest trees Spark grows; the compared models have no limit of their own
 
 
 def regressors(key: str, seed: int = SEED, trees: int = 100, bags: int = 10, depth: int = DEEPEST,
-               rounds: int = 100) -> dict[str, Estimator]:
+               rounds: int = 100, boosts: int = 50) -> dict[str, Estimator]:
     """The compared models by their short names."""
     return {
         "LR": LinearRegression(),
@@ -35,10 +37,16 @@ def regressors(key: str, seed: int = SEED, trees: int = 100, bags: int = 10, dep
         "RF": RandomForestRegressor(seed=seed, numTrees=trees, maxDepth=depth),
         "XGB": GBTRegressor(seed=seed, maxIter=rounds, maxDepth=3, stepSize=0.1),
         "BagR": RandomForestRegressor(seed=seed, numTrees=bags, maxDepth=depth, featureSubsetStrategy="all"),
-        "SGD": LinearRegression(regParam=1e-4, elasticNetParam=0.0, solver="l-bfgs"),
+        "ABC": AdaBoostR2(rounds=boosts, seed=seed),
+        "SGD": SGDRegressor(keyCol=key, seed=seed),
     }
 
 
+def ridge_regression() -> LinearRegression:
+    """The optimum that the stochastic steps of "SGD" go towards."""
+    return LinearRegression(regParam=1e-4, elasticNetParam=0.0, solver="l-bfgs")
+
+
 @dataclass(frozen=True)
 class Run:
     """One compared model: its scores over the folds and the model fitted on all training rows."""

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,8 +41,8 @@ def scratch_dir(spark: SparkSession) -> str:
     return shared
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder once and read it back.
+def settle(df: DataFrame, schema: StructType | None = None) -> DataFrame:
+    """Write `df` to the shared folder once and read it back, by default with its own schema.
 
     Cuts the lineage, fixes values that a recomputation could change, survives lost executors, and gives
     Catalyst a real file size to choose join strategies by.
@@ -49,4 +50,4 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/kamienica-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema or df.schema).parquet(path)

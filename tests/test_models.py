@@ -17,7 +17,7 @@ def train(spark):
 
 
 def test_every_model_trains(train):
-    for name, estimator in models.regressors("id", trees=3, bags=2, depth=3, rounds=3).items():
+    for name, estimator in models.regressors("id", trees=3, bags=2, depth=3, rounds=3, boosts=3).items():
         assert models.r2(estimator.fit(train).transform(train)) > 0.3, name
 
 
