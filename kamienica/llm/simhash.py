@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kamienica.llm.components import connected
@@ -164,10 +164,11 @@ def links(points: DataFrame, most: int = 3) -> DataFrame:
     return dealt.mapInArrow(_cell_links(most), "u long, v long").distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, most: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 3, most: int = 3, key: str = "doc_id", text: str = "text",
+                    row: Column | None = None) -> DataFrame:
     """(key columns `__key`, `__row`, `fingerprint`, `component_id`) of every document, and `stays` for one row key of
-    each component. `__row` tells rows apart that have no id."""
-    row = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("t"), F.md5(F.col(text))), F.lit("t"))
+    each component. `__row` tells rows apart, by default those that have no id."""
+    row = row if row is not None else F.coalesce(F.col(key).cast("string"), F.concat(F.lit("t"), F.md5(F.col(text))), F.lit("t"))
     slim = settle(fingerprints(docs.select(F.col(key).alias("__key"), row.alias("__row"), F.col(text).alias("__text")), width,
                                "__text").select("__key", "__row", "__print"))
     first = F.min(F.struct(F.col("__key").isNull().alias("none"), F.col("__key").alias("id"), F.col("__row").alias("row")))
@@ -183,8 +184,14 @@ def near_duplicates(docs: DataFrame, width: int = 3, most: int = 3, key: str = "
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 3, most: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each component: the one with the smallest id. Columns stay as they are."""
-    stays = near_duplicates(docs, width, most, key, text).where("stays").select("__row").distinct()
-    row = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("t"), F.md5(F.col(text))), F.lit("t"))
-    return (docs.withColumn("__row", row).join(settle(stays), "__row", "left_semi").dropDuplicates(["__row"])
-            .select(*docs.columns))
+    """One document of each component: the one with the smallest id, of several with that id the one whose text has the least
+    digest. Unlike texts under one id are documents of their own; rows equal in id and text are one. Columns stay as they are.
+    """
+    id_, body = F.col(key).cast("string"), F.col(text)
+    row = F.md5(F.concat(F.when(id_.isNull(), "n").otherwise(F.concat(F.lit("k"), id_, F.lit(" "))),
+                         F.when(body.isNull(), "n").otherwise(F.md5(body))))
+    stays = near_duplicates(docs, width, most, key, text, row).where("stays").groupBy("__row").agg(F.count("*").alias("__rows"))
+    met = docs.withColumn("__row", row).join(settle(stays), "__row")
+    # only rows that occur twice are compared, and shuffled with their texts
+    once, several = met.where("__rows = 1"), met.where("__rows > 1").dropDuplicates(["__row"])
+    return once.unionAll(several).select(*docs.columns)

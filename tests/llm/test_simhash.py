@@ -126,3 +126,13 @@ def test_one_of_each_group_stays_with_its_columns(spark):
     roots = brute_components([brute_print(r[1]) for r in rows])
     assert kept.count() == len(set(roots))
     assert simhash.drop_near_duplicates(frame(spark, [])).collect() == []
+
+
+def test_unlike_texts_of_one_id_all_stay(spark):
+    rng = random.Random(3)
+    texts = [prose(rng, 80) for _ in range(4)]
+    rows = [(7, texts[0], "en", "s", 1), (7, texts[1], "en", "s", 1), (7, texts[2], "en", "s", 1), (7, texts[2], "en", "s", 1),
+            (None, texts[3], "en", "s", 1), (8, texts[0], "en", "s", 1), (None, "t" + texts[3], None, None, None), (9, None, "", "", 0)]
+    kept = [(r["doc_id"], r["text"]) for r in simhash.drop_near_duplicates(frame(spark, rows)).collect()]
+    assert sorted((k, t or "") for k, t in kept if k is not None) == sorted([(7, texts[0]), (7, texts[1]), (7, texts[2]), (9, "")])
+    assert len([k for k, _ in kept if k is None]) == 1
