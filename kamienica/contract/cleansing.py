@@ -365,3 +365,14 @@ def clean_listings(spark, folder):
     raw = raw_listings(spark, folder)
     vocabulary = cleanse.collect_vocabulary(clean.listing_vocabulary(raw))
     return clean.clean_listings(raw, vocabulary)
+
+
+@query("keyword_rules_many", """
+    SELECT c_custkey, 'v' || min(r) AS value FROM customer
+    JOIN (SELECT unnest(range(10000)) AS r) ON c_name LIKE '%' || lpad(((r * 7919 + 13) % 10000)::VARCHAR, 4, '0') || '%'
+    GROUP BY c_custkey""")
+def keyword_rules_many(spark, folder):
+    """Ten thousand rules in one pass; the first that matches counts."""
+    rules = [((f"{(r * 7919 + 13) % 10000:04d}",), f"v{r}") for r in range(10_000)]
+    rows = table(spark, folder, "customer").select("c_custkey", "c_name", F.lit(None).cast("string").alias("value"))
+    return cleanse.backfill_from_text(rows, "c_name", {"value": rules}).select("c_custkey", "value")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kamienica.contract.profiling import FIRST_SEEN_SQL
 from kamienica.contract.registry import query, table
-from kamienica.operators import encode, neighbours, outliers, scale
+from kamienica.operators import encode, neighbours, gram, outliers, scale
 from kamienica.plans.features import FeatureConfig, build_features
 
 _ORDINAL = """(SELECT value, row_number() OVER (ORDER BY value) - 1 AS code
@@ -220,6 +220,28 @@ def corr_pairs_wide(spark, folder):
     return spark.createDataFrame([(a, b, round(r, 6)) for (a, b), r in found.items()], "a string, b string, r double")
 
 
+_TILED = 150
+_TILED_PAIRS = [(i, j) for i in range(0, _TILED, 7) for j in (i + 1, i + 75) if j < _TILED]
+
+
+def _tiled_sql(i):
+    return (f"CASE WHEN l_orderkey % {i % 17 + 3} <> 0 THEN l_extendedprice * {i * 37 % 11 + 1} + l_quantity * {i * 7 % 13 * 1000}"
+            f" + l_tax * {i * 5 % 7}e5 END")
+
+
+@query("corr_tiles", " UNION ALL ".join(
+    f"SELECT 'c{i}' AS a, 'c{j}' AS b, round(corr({_tiled_sql(i)}, {_tiled_sql(j)}), 6) AS r FROM lineitem"
+    for i, j in _TILED_PAIRS))
+def corr_tiles(spark, folder):
+    """A hundred and fifty columns, each with nulls of its own, tile by tile; some of the pairs are looked at."""
+    rows = table(spark, folder, "lineitem").select(*[F.expr(_tiled_sql(i)).alias(f"c{i}") for i in range(_TILED)])
+    pairs = gram.correlation_pairs(rows, rows.columns)
+    wanted = spark.createDataFrame(_TILED_PAIRS, "i int, j int")
+    return pairs.join(wanted, ["i", "j"]).select(F.concat(F.lit("c"), F.col("i").cast("string")).alias("a"),
+                                                 F.concat(F.lit("c"), F.col("j").cast("string")).alias("b"),
+                                                 F.round("r", 6).alias("r"))
+
+
 @query("standard_scale", """
     WITH s AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS dq, avg(l_tax) AS mt, stddev_pop(l_tax) AS dt
                FROM lineitem)

@@ -7,11 +7,12 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kamienica.functions import text
+from kamienica.functions import keywords, text
 from kamienica.functions.rules import LIST_SEPARATOR
 
 # Spark's own default for the number of pivot columns.
 MAX_COLUMNS = 10_000
+MOST_SEARCHES = 200  # keywords searched one by one
 RUNS = "array<struct<token: string, n: bigint>>"
 
 
@@ -44,13 +45,21 @@ def keep_containing(df: DataFrame, column: str, part: str) -> DataFrame:
     return df.where(F.contains(quoted(column), F.lit(part)))
 
 
-def backfill_from_text(df: DataFrame, text_column: str,
-                       rules: Mapping[str, Iterable[tuple[Iterable[str], str]]]) -> DataFrame:
-    """Fill nulls from the first keyword rule that matches another column's text."""
-    return df.withColumns({
-        column: F.coalesce(quoted(column), text.keyword_value(quoted(text_column), column_rules))
-        for column, column_rules in rules.items()
-    })
+def backfill_from_text(df: DataFrame, text_column: str, rules: Mapping[str, Iterable[tuple[Iterable[str], str]]],
+                       most_searches: int = MOST_SEARCHES) -> DataFrame:
+    """Fill nulls from the first keyword rule that matches another column's text.
+
+    A few keywords are searched one by one without leaving the JVM; from `most_searches` on, one automaton reads each text
+    once for the rules of all columns.
+    """
+    rules = {column: [(tuple(words), value) for words, value in own] for column, own in rules.items()}
+    if sum(len(words) for own in rules.values() for words, _ in own) <= most_searches:
+        return df.withColumns({column: F.coalesce(quoted(column), text.keyword_value(quoted(text_column), own))
+                               for column, own in rules.items()})
+    found = df.withColumn("_found", keywords.keyword_values(quoted(text_column), rules))
+    place = {column: f"v{i}" for i, column in enumerate(rules)}
+    return found.select(*[F.coalesce(quoted(c), F.col("_found")[place[c]]).alias(c) if c in place else quoted(c)
+                          for c in df.columns])
 
 
 def tokens_long(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (),

@@ -7,14 +7,13 @@ scan with a growing filter, however many rounds are run, and there is nothing to
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kamienica.operators import gram
 from kamienica.operators.cleanse import quoted
 from kamienica.operators.profile import DISTINCT_LIMIT, exact_quantiles, numeric_columns
 
@@ -79,27 +78,6 @@ def drop_outliers(df: DataFrame, columns: Sequence[str], rounds: int, by_iqr: bo
     return df
 
 
-def _pair_sums(rows: DataFrame, width: int) -> DataFrame:
-    """(i, j, n, a, b, aa, bb, ab) summed over the rows that have both columns; values are relative to `shift`.
-
-    Each batch of rows becomes a handful of matrix products and one row a pair, whatever number of columns has nulls.
-    """
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first, second = np.triu_indices(width, 1)
-        total = np.zeros((6, width, width))
-        for batch in batches:
-            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
-            has = np.isfinite(x)
-            x, m = np.where(has, x, 0.0), has.astype(float)
-            total += [m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(first.astype(np.int32)), pa.array(second.astype(np.int32)), *[pa.array(t[first, second]) for t in total]],
-            names=["i", "j", "n", "a", "b", "aa", "bb", "ab"])
-
-    parts = rows.mapInArrow(sums, "i int, j int, n double, a double, b double, aa double, bb double, ab double")
-    return parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "a", "b", "aa", "bb", "ab")])
-
-
 def _narrow_correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, str], float | None]:
     """All pairs by built-in aggregates of one plan, without leaving the JVM."""
     rows = df.select(*[F.when(F.abs(quoted(c).cast("double")) < math.inf, quoted(c).cast("double")).alias(f"x{i}")
@@ -122,35 +100,32 @@ def _narrow_correlations(df: DataFrame, columns: Sequence[str]) -> dict[tuple[st
 
 
 def correlations(df: DataFrame, columns: Sequence[str], narrow: int = NARROW) -> dict[tuple[str, str], float | None]:
-    """Pearson correlation of every pair, in column order, in one pass for any number of columns.
+    """Pearson correlation of every pair, in column order.
 
     Rows with a null, NaN or infinite value in a pair are left out of it; a pair without spread has no correlation. Up to
-    `narrow` columns are built-in aggregates of one plan; more go through matrix products.
+    `narrow` columns are built-in aggregates of one plan; more go tile by tile. The result is as large as the square of the
+    columns; `correlated_columns` leaves it on the executors.
     """
     pairs = list(combinations(columns, 2))
     if not pairs:
         return {}
     if len(columns) <= narrow:
         return _narrow_correlations(df, columns)
-    numbers = [quoted(c).cast("double") for c in columns]
-    means = df.agg(*[F.avg(F.when(F.abs(x) < float("inf"), x)).alias(f"m{i}") for i, x in enumerate(numbers)]).first()
-    shifted = df.select(*[(x - F.lit(means[i] or 0.0)).alias(f"x{i}") for i, x in enumerate(numbers)])
     found: dict[tuple[str, str], float | None] = dict.fromkeys(pairs)
-    for r in _pair_sums(shifted, len(columns)).collect():  # one row for each pair of columns
-        if r["n"] > 0:
-            spread_a, spread_b = r["aa"] - r["a"] ** 2 / r["n"], r["bb"] - r["b"] ** 2 / r["n"]
-            if spread_a > _NOTHING * r["aa"] and spread_b > _NOTHING * r["bb"]:
-                value = (r["ab"] - r["a"] * r["b"] / r["n"]) / math.sqrt(spread_a * spread_b)
-                found[columns[r["i"]], columns[r["j"]]] = max(-1.0, min(1.0, value))
+    for r in gram.correlation_pairs(df, columns).collect():
+        found[columns[r["i"]], columns[r["j"]]] = r["r"]
     return found
 
 
-def correlated_columns(df: DataFrame, ratio: float, columns: Sequence[str] | None = None) -> list[str]:
+def correlated_columns(df: DataFrame, ratio: float, columns: Sequence[str] | None = None, narrow: int = NARROW) -> list[str]:
     """Columns that correlate above `ratio`, in absolute terms, with any column before them."""
     columns = list(columns) if columns is not None else numeric_columns(df)
-    found = correlations(df, columns)
-    return [c for c in columns
-            if any(b == c and r is not None and abs(r) > ratio for (_, b), r in found.items())]
+    if len(columns) <= narrow:
+        found = correlations(df, columns, narrow)
+        return [c for c in columns if any(b == c and r is not None and abs(r) > ratio for (_, b), r in found.items())]
+    pairs = gram.correlation_pairs(df, columns)
+    late = {r["j"] for r in pairs.where(F.abs("r") > ratio).select("j").distinct().collect()}  # columns at most
+    return [c for i, c in enumerate(columns) if i in late]
 
 
 def drop_correlated(df: DataFrame, ratio: float, columns: Sequence[str] | None = None) -> DataFrame:
