@@ -13,7 +13,8 @@ the next round as a bitmap of bounded size: a false hit costs work, never a resu
 surviving pairs, for only these are ever a part of a phrase.
 
 Second pass. N-grams that survive (and all of whose parts do) are counted with their texts, exactly, by language and phrase;
-within a task they are told apart by 128 bits of hashes, across tasks by their texts.
+within a task they are told apart by 128 bits of hashes, across tasks by their texts. A task sends what it counted packed in
+one row a bucket of phrases, and buckets are added up one at a time.
 
 What is held: sums of a block in a task, one summary of mass / `least` counters for each part and the bitmap of at most
 MOST_BITS. Parts hold about PART_MASS occurrences; beyond MOST_PARTS of them, parts grow instead, as every block tells every
@@ -45,6 +46,7 @@ SUMS = 1 << 20  # distinct n-grams a task sums up before it sends them
 PART_MASS, MOST_PARTS = 1_000_000, 1 << 15  # occurrences a part is meant for, and how many parts there may be
 BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 15, 1 << 28
 BUCKET = 1 << 15  # bits in a row of the bitmap
+BUCKET_SIZE = 10_000  # survivors in a bucket of the exact count
 SALTS = 32
 GRAM_STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -260,22 +262,27 @@ def survivors(texts: DataFrame, wanted: tuple[int, int], known: Bitmap | None, u
     return named.where("most > 0").select("hash"), named.where("most = 0").select("hash"), total
 
 
+PACKED = "bucket int, langs array<string>, phrases array<binary>, lengths array<int>, counts array<long>"
 EXACT = "lang string, phrase binary, words int, n long"
 
 
-def _exact(known) -> Callable:
-    """Counts of surviving n-grams by language and text; words = 0 has the number of all words."""
+def _exact(known, buckets: int) -> Callable:
+    """Counts of surviving n-grams by language and text, one row a bucket; a length of 0 has the number of all words."""
+    kinds = [pa.int32(), pa.list_(pa.string()), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.int64())]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashers = (Hasher(1), Hasher(2))
         held: dict[tuple[str, bytes, int], int] = {}
 
         def flush() -> pa.RecordBatch:
-            langs, phrases, lengths = zip(*held)
-            batch = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(phrases, pa.binary()),
-                                                pa.array(lengths, pa.int32()), pa.array(held.values(), pa.int64())],
-                                               names=["lang", "phrase", "words", "n"])
+            packed: dict[int, list[tuple]] = {}
+            for (lang, phrase, n), count in held.items():
+                packed.setdefault(xxhash.xxh3_64_intdigest(phrase) % buckets, []).append((lang, phrase, n, count))
             held.clear()
-            return batch
+            columns = [list(packed), *([list(column) for column in columns]
+                                       for columns in zip(*(zip(*rows) for rows in packed.values())))]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(columns, kinds)],
+                                              names=["bucket", "langs", "phrases", "lengths", "counts"])
 
         for words, lang_hash, langs in blocks(batches, hashers):
             for lang, n in zip(langs, np.bincount(words.doc, minlength=len(langs)).tolist()):
@@ -299,8 +306,34 @@ def _exact(known) -> Callable:
     return run
 
 
+def _added_up(least: int) -> Callable:
+    """Sums of the counts; rows come by bucket, and what is held is one bucket's phrases."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, {}
+
+        def close() -> pa.RecordBatch:
+            rows = [(*key, n) for key, n in held.items() if n >= least or key[2] == 0]
+            values = list(zip(*rows)) if rows else [()] * 4
+            kinds = [pa.string(), pa.binary(), pa.int32(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds)],
+                                              names=["lang", "phrase", "words", "n"])
+
+        for batch in batches:
+            for i in range(len(batch)):
+                own, *lists = (column[i].as_py() for column in batch.columns)
+                if own != bucket:
+                    if held:
+                        yield close()
+                    bucket, held = own, {}
+                for *key, n in zip(*lists):
+                    held[tuple(key)] = held.get(tuple(key), 0) + n
+        if held:
+            yield close()
+    return run
+
+
 def frequent(docs: DataFrame, least: int = 100, text: str = "text", lang: str = "lang",
-             part_mass: int = PART_MASS, most_bits: int = MOST_BITS) -> DataFrame:
+             part_mass: int = PART_MASS, most_bits: int = MOST_BITS, bucket_size: int = BUCKET_SIZE) -> DataFrame:
     """(lang, phrase, words, n), written: every n-gram of 2 to 5 words with `least` occurrences or more, every word of one, and
     for words = 0 the number of all words of a language."""
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
@@ -310,10 +343,11 @@ def frequent(docs: DataFrame, least: int = 100, text: str = "text", lang: str =
     pairs, _, mass = survivors(texts, (2, 2), bitmap_of(single, most_bits), 1, mass, least, part_mass)
     longer, single, _ = survivors(texts, (3, LONGEST), bitmap_of(single.unionAll(pairs), most_bits), 2, mass, least, part_mass,
                                   with_words=True)
-    known = docs.sparkSession.sparkContext.broadcast(bitmap_of(single.unionAll(pairs).unionAll(longer), most_bits))
-    counted = texts.mapInArrow(_exact(known), EXACT).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
-    return settle(counted.where((F.col("n") >= least) | (F.col("words") == 0))
-                  .withColumn("phrase", F.col("phrase").cast("string")))
+    every = settle(single.unionAll(pairs).unionAll(longer))
+    known = docs.sparkSession.sparkContext.broadcast(bitmap_of(every, most_bits))
+    buckets = max(1, -(-every.count() // bucket_size))
+    packed = texts.mapInArrow(_exact(known, buckets), PACKED).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return settle(packed.mapInArrow(_added_up(least), EXACT).withColumn("phrase", F.col("phrase").cast("string")))
 
 
 def collocations(docs: DataFrame, least: int = 100, cover: int = 100, best: int = 2000, text: str = "text",

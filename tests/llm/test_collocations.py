@@ -89,7 +89,9 @@ def test_fixture_and_awkward_tables(spark):
 def test_whole_counts(spark):
     rows = corpus(2, 100)
     total, f = counted(rows)
-    got = {(r["lang"], r["phrase"]): r["n"] for r in collocations.frequent(frame(spark, rows), 6).collect()}
+    counts = collocations.frequent(frame(spark, rows).repartition(4), 6, bucket_size=7).collect()
+    got = {(r["lang"], r["phrase"]): r["n"] for r in counts}
+    assert len(got) == len(counts)
     many = {(lang, " ".join(p)): n for (lang, p), n in f.items() if n >= 6}
     inner = {(lang, word) for lang, p in many for word in p.split() if " " in p}
     assert {k: n for k, n in got.items() if " " in k[1] or k in inner or not k[1]} == {
