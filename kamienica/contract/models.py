@@ -95,20 +95,37 @@ query("model_SGD", _NATION.format(value="intercept + slope * c_nationkey", more=
                    / (var_pop(c_nationkey) + 1e-4 / stddev_samp(c_acctbal) * var_samp(c_nationkey)) AS slope FROM c WHERE NOT is_test))"""))(_by_nation("ridge"))
 
 
-@query("sgd_regression", """
-    WITH s AS (SELECT (l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER () AS x,
-                      (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER () AS y FROM lineitem)
-    SELECT round(regr_slope(y, x), 2) AS slope, round(regr_intercept(y, x), 2) + 0 AS intercept, round(regr_r2(y, x), 2) AS r2
-    FROM s""")
+_STEPS, _STEP_ROWS = 3, 100
+
+
+def _steps_sql(rounds):
+    """Stochastic steps followed one by one: every block goes through its rows in the order of their hash, then weights are
+    averaged by rows."""
+    sql = f"""
+    WITH RECURSIVE k AS MATERIALIZED (SELECT c_custkey AS k, (c_nationkey - 12) / 7.0::DOUBLE AS x, c_acctbal / 1000 + c_nationkey AS y,
+                  ('0x' || substr(md5(c_custkey || ':7'), 1, 8))::BIGINT AS h,
+                  (SELECT (count(*) + {_STEP_ROWS - 1}) // {_STEP_ROWS} FROM customer) AS blocks FROM customer),
+         r AS MATERIALIZED (SELECT h % blocks AS b, x, y, row_number() OVER (PARTITION BY h % blocks ORDER BY h, k::VARCHAR) AS i FROM k),
+         s AS MATERIALIZED (SELECT b, count(*) AS n FROM r GROUP BY b),
+         w0 AS (SELECT 0::DOUBLE AS w, 0::DOUBLE AS c)"""
+    for done in range(rounds):
+        sql += f""",
+         p{done} AS (SELECT b, n, 0::BIGINT AS i, w, c FROM s, w{done} UNION ALL
+                SELECT p.b, p.n, p.i + 1, p.w * (1 - e.eta * 1e-4) - e.eta * e.off * r.x, p.c - e.eta * e.off
+                FROM p{done} p JOIN r ON r.b = p.b AND r.i = p.i + 1,
+                     LATERAL (SELECT 0.01 / pow({done} * p.n + p.i + 1, 0.25) AS eta, p.w * r.x + p.c - r.y AS off) e),
+         w{done + 1} AS MATERIALIZED (SELECT sum(w * n) / sum(n) AS w, sum(c * n) / sum(n) AS c FROM p{done} WHERE i = n)"""
+    return sql + f" SELECT round(w, 6) AS slope, round(c, 6) AS intercept FROM w{rounds}"
+
+
+@query("sgd_regression", _steps_sql(_STEPS))
 def sgd_regression(spark, folder):
-    """Stochastic steps come within a hundredth of the closed form."""
-    rows = table(spark, folder, "lineitem").select(
-        F.concat_ws(":", "l_orderkey", "l_linenumber").alias("id"), "l_quantity", "l_extendedprice")
-    rows = scale.assemble(scale.standard_scale(rows, ["l_quantity", "l_extendedprice"]), ["l_quantity"], "l_extendedprice", ["id"])
-    fitted = SGDRegressor(keyCol="id").fit(rows)
-    score = models.r2(fitted.transform(rows))
-    return spark.createDataFrame([(round(float(fitted.coefficients[0]), 2), round(fitted.intercept, 2) + 0.0, round(score, 2))],
-                                 "slope double, intercept double, r2 double")
+    rows = table(spark, folder, "customer").select("c_custkey", ((F.col("c_nationkey") - 12) / 7).alias("x"),
+                                                   (F.col("c_acctbal") / 1000 + F.col("c_nationkey")).alias("y"))
+    rows = scale.assemble(rows, ["x"], "y", ["c_custkey"])
+    fitted = SGDRegressor(keyCol="c_custkey", maxIter=_STEPS, blockRows=_STEP_ROWS, seed=7).fit(rows)
+    return spark.createDataFrame([(round(float(fitted.coefficients[0]), 6), round(fitted.intercept, 6))],
+                                 "slope double, intercept double")
 
 
 _ROUNDS = 5

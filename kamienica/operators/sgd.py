@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kamienica.operators.cleanse import quoted
+from kamienica.operators.scale import key_hash
 from kamienica.session import settle
 
 CELLS = 1 << 20  # numbers in a block, so that it fits a row whatever the number of features
@@ -31,7 +32,7 @@ STEEPEST = 1e12  # no gradient counts for more
 
 def as_blocks(rows: DataFrame, key: str, features: str, label: str, block_rows: int, seed: int) -> tuple[DataFrame, int, int]:
     """(block, rows) with the rows of a block in order, written; the number of blocks and of features."""
-    slim = settle(rows.select(F.xxhash64(F.lit(seed), quoted(key)).alias("hash"), quoted(key).cast("string").alias("key"),
+    slim = settle(rows.select(key_hash(quoted(key), seed).alias("hash"), quoted(key).cast("string").alias("key"),
                               vector_to_array(features).alias("x"), quoted(label).cast("double").alias("y")))
     total, width = slim.agg(F.count("*"), F.max(F.size("x"))).first()
     if not total:

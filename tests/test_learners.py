@@ -58,7 +58,7 @@ def test_steps_equal_a_plain_loop():
 def test_one_block_equals_the_loop_over_rounds(table):
     _, df = table
     small = df.where("id < 60")
-    ordered = small.select(F.xxhash64(F.lit(5), "id").alias("h"), "features", "label").orderBy("h").collect()
+    ordered = small.select(scale.key_hash(F.col("id"), 5).alias("h"), "features", "label").orderBy("h").collect()
     x, y = np.array([r["features"].toArray() for r in ordered]), np.array([r["label"] for r in ordered])
     weights = np.zeros(3)
     for done in range(3):
