@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from kamienica.contract.registry import query, table
 from kamienica.operators import encode, neighbours, scale
 from kamienica.operators.boosting import AdaBoostR2
+from kamienica.operators.extra_trees import ExtraTreesRegressor
 from kamienica.operators.sgd import SGDRegressor
 from kamienica.plans import models
 
@@ -35,7 +36,7 @@ def linear_regression(spark, folder):
                QUALIFY row_number() OVER (PARTITION BY q.vec_id ORDER BY list_distance(q.v, d.v), d.vec_id) <= 5)
     SELECT vec_id, round(avg(label), 6) AS prediction FROM n GROUP BY vec_id""")
 def knn_regress(spark, folder):
-    rows = table(spark, folder, "embeddings")
+    rows = table(spark, folder, "embeddings").where("embedding IS NOT NULL")
     width = len(rows.first()["embedding"])
     train, test = scale.hash_split(rows, "vec_id")
     predicted = neighbours.knn_regress(train, test, "vec_id", "embedding", "label", width)
@@ -166,6 +167,36 @@ def model_abc(spark, folder):
     return fitted.transform(test).select("c_custkey", F.round("prediction", 4).alias("prediction"))
 
 
+_EXTRA_TREES, _EXTRA_DEPTH = 4, 3
+
+
+def _extra_trees_sql(trees, depth):
+    """Trees on the country: every level draws a threshold in each node's range; a node with one country or balance is a leaf."""
+    sql = f"""
+    WITH c AS MATERIALIZED (SELECT c_custkey AS id, c_nationkey::DOUBLE AS x, c_acctbal AS y, ('0x' || substr(md5(c_custkey || ':123'), 1, 8))
+                  ::BIGINT < 858993459 AS is_test FROM customer),
+         n0 AS (SELECT id, x, y, is_test, t AS tree, 1::BIGINT AS node FROM c, (SELECT unnest(range({trees})) AS t))"""
+    for level in range(depth):
+        sql += f""",
+         s{level} AS MATERIALIZED (SELECT tree, node, low + (high - low)
+                 * (('0x' || substr(md5('123:' || tree || ':' || node || ':0'), 1, 8))::BIGINT / 4294967296.0::DOUBLE) AS cut
+                 FROM (SELECT tree, node, min(x) AS low, max(x) AS high, min(y) AS a, max(y) AS z FROM n{level}
+                       WHERE NOT is_test GROUP BY tree, node) WHERE low < high AND a < z),
+         n{level + 1} AS MATERIALIZED (SELECT id, x, y, is_test, tree,
+                 CASE WHEN cut IS NULL OR node < {2 ** level} THEN node ELSE 2 * node + (x > cut)::INT END AS node
+                 FROM n{level} LEFT JOIN s{level} USING (tree, node))"""
+    return sql + f""",
+         v AS (SELECT tree, node, avg(y) AS p FROM n{depth} WHERE NOT is_test GROUP BY tree, node)
+    SELECT id AS c_custkey, round(avg(p), 5) AS prediction FROM n{depth} JOIN v USING (tree, node) WHERE is_test GROUP BY id"""
+
+
+@query("model_ETR", _extra_trees_sql(_EXTRA_TREES, _EXTRA_DEPTH))
+def model_etr(spark, folder):
+    train, test = _nations(spark, folder)
+    fitted = ExtraTreesRegressor(numTrees=_EXTRA_TREES, maxDepth=_EXTRA_DEPTH).fit(train)
+    return fitted.transform(test).select("c_custkey", F.round("prediction", 5).alias("prediction"))
+
+
 query("model_KNN", """
     WITH c AS (SELECT *, ('0x' || substr(md5(c_custkey || ':123'), 1, 8))::BIGINT < 858993459 AS is_test,
                       c_mktsegment = (SELECT min(c_mktsegment) FROM customer) AS is_first FROM customer),

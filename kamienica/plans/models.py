@@ -19,11 +19,13 @@ from pyspark.sql import functions as F
 
 from kamienica import schema
 from kamienica.operators.boosting import AdaBoostR2
+from kamienica.operators.extra_trees import ExtraTreesRegressor
 from kamienica.operators.neighbours import KNNRegressor
 from kamienica.operators.scale import with_fold
 from kamienica.operators.sgd import SGDRegressor
 
 SEED = 123
+DEEP_EXTRA = 10  # extra trees are held in memory as whole levels
 DEEPEST = 30  # the deepest trees Spark grows; the compared models have no limit of their own
 
 
@@ -37,6 +39,7 @@ def regressors(key: str, seed: int = SEED, trees: int = 100, bags: int = 10, dep
         "RF": RandomForestRegressor(seed=seed, numTrees=trees, maxDepth=depth),
         "XGB": GBTRegressor(seed=seed, maxIter=rounds, maxDepth=3, stepSize=0.1),
         "BagR": RandomForestRegressor(seed=seed, numTrees=bags, maxDepth=depth, featureSubsetStrategy="all"),
+        "ETR": ExtraTreesRegressor(numTrees=trees, maxDepth=min(depth, DEEP_EXTRA), seed=seed),
         "ABC": AdaBoostR2(rounds=boosts, seed=seed),
         "SGD": SGDRegressor(keyCol=key, seed=seed + 1),  # an order that has nothing to do with the folds
     }

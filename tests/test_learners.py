@@ -6,8 +6,9 @@ import pytest
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
-from kamienica.operators import boosting, scale, sgd
+from kamienica.operators import boosting, extra_trees, scale, sgd
 from kamienica.operators.boosting import AdaBoostR2, AdaBoostR2Model
+from kamienica.operators.extra_trees import ExtraTreesModel, ExtraTreesRegressor
 from kamienica.operators.sgd import SGDModel, SGDRegressor
 
 
@@ -128,3 +129,49 @@ def test_weighted_median(spark):
     row = spark.range(1).select(boosting.weighted_median([F.lit(3.0), F.lit(1.0), F.lit(2.0)], [0.2, 0.5, 0.3]).alias("m"),
                                 boosting.weighted_median([F.lit(3.0), F.lit(1.0), F.lit(2.0)], [5.0, 0.5, 0.3]).alias("n")).first()
     assert tuple(row) == (1.0, 3.0)
+
+
+def plain_tree(x, y, seed, tree, depth):
+    """The tree by recursion, with the same draws; returns a function of a row."""
+    def node(at, rows, level):
+        mean = y[rows].mean()
+        if level == depth or len(rows) < 2 or y[rows].min() == y[rows].max():
+            return lambda row: mean
+        best = None
+        for f in range(x.shape[1]):
+            low, high = x[rows, f].min(), x[rows, f].max()
+            if low < high:
+                cut = low + (high - low) * extra_trees.draw(seed, tree, at, f)
+                left = x[rows, f] <= cut
+                gain = y[rows][left].sum() ** 2 / left.sum() + y[rows][~left].sum() ** 2 / (~left).sum()
+                if best is None or gain > best[0]:
+                    best = gain, f, cut, left
+        if best is None:
+            return lambda row: mean
+        _, f, cut, left = best
+        below, above = node(2 * at, rows[left], level + 1), node(2 * at + 1, rows[~left], level + 1)
+        return lambda row: below(row) if row[f] <= cut else above(row)
+    return node(1, np.arange(len(y)), 0)
+
+
+def test_extra_trees_equal_plain_ones(spark, table, tmp_path):
+    pdf, df = table
+    small = df.where("id < 150")
+    rows = pdf[pdf.id < 150]
+    x, y = rows[["a", "b"]].to_numpy(), rows.y.to_numpy()
+    walks = [plain_tree(x, y, 9, t, 4) for t in range(3)]
+    want = [np.mean([walk(row) for walk in walks]) for row in x]
+    for parts in (1, 5):
+        fitted = ExtraTreesRegressor(numTrees=3, maxDepth=4, seed=9).fit(small.repartition(parts))
+        got = fitted.transform(small).orderBy("id").toPandas()
+        assert np.allclose(got.prediction, want)
+    fitted.write().overwrite().save(str(tmp_path / "trees"))
+    again = ExtraTreesModel.load(spark, str(tmp_path / "trees")).transform(small).orderBy("id").toPandas()
+    assert again.prediction.tolist() == got.prediction.tolist()
+
+
+def test_extra_trees_of_little(spark):
+    one = scale.assemble(spark.createDataFrame([(1, 2.0, 7.0)], "id int, a double, y double"), ["a"], "y", ["id"])
+    assert ExtraTreesRegressor(numTrees=2).fit(one).transform(one).first()["prediction"] == 7.0
+    with pytest.raises(ValueError, match="no rows"):
+        ExtraTreesRegressor().fit(one.where("id = 2"))
