@@ -11,8 +11,8 @@ back. Scores are sums of products of whole numbers and exact as long as they sta
 gives the same result.
 
 Defined cases: vectors that are null, or hold a null or non-finite component, take no part, as rows or as queries, and
-empty ones neither; rows of another length than the query's are no candidates; repeated vectors are ranked by id; a row
-is no candidate for a query of the same id; null ids take no part; a query without candidates has no row; an empty table
+empty ones neither; rows of another length than the query's are no candidates; repeated vectors are ranked by id; rows
+with one id are rows of their own: each is a query with ranks of its own, and a candidate of the others; null ids take no part; a query without candidates has no row; an empty table
 gives an empty result; further columns are ignored.
 """
 
@@ -32,9 +32,9 @@ SHARD_ROWS, BLOCK_QUERIES = 16_384, 2_048
 
 
 class KDTree:
-    """Points in rows, ids beside them; node arrays, children behind their parents."""
+    """Points in rows, ids and row numbers beside them; node arrays, children behind their parents."""
 
-    def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
+    def __init__(self, points: np.ndarray, ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF):
         order = np.arange(len(points))
         self.low, self.high, self.children, self.span = [], [], [], []
         waiting = [(self._node(points, order), order, 0)] if len(points) else []
@@ -54,7 +54,7 @@ class KDTree:
                 child = self._node(points, part)
                 self.children[node].append(child)
                 waiting.append((child, part, 0))
-        self.points, self.ids = points[placed], ids[placed]
+        self.points, self.ids, self.rows = points[placed], ids[placed], rows[placed]
         self.low, self.high = np.array(self.low), np.array(self.high)
 
     def _node(self, points, own) -> int:
@@ -65,8 +65,8 @@ class KDTree:
         self.span.append(None)
         return len(self.low) - 1
 
-    def top(self, query: np.ndarray, own_id: int, k: int, floor: float) -> list[tuple[float, int]]:
-        """Up to k (score, id), best first, among points scoring `floor` or more and not the query itself."""
+    def top(self, query: np.ndarray, own: int, k: int, floor: float) -> list[tuple[float, int]]:
+        """Up to k (score, id), best first, among points scoring `floor` or more and not the query's own row."""
         if not len(self.points):
             return []
         bounds = np.maximum(query * self.low, query * self.high).sum(axis=1)
@@ -83,7 +83,7 @@ class KDTree:
                 continue
             x, y = self.span[node]
             scores = self.points[x:y] @ query
-            at = np.flatnonzero((scores >= floor) & (self.ids[x:y] != own_id))
+            at = np.flatnonzero((scores >= floor) & (self.rows[x:y] != own))
             if len(at):
                 if len(at) > k:  # the k best of the leaf, ties by id
                     at = at[np.lexsort((self.ids[x:y][at], -scores[at]))[:k]]
@@ -99,20 +99,20 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return values.reshape(len(flat), -1) if len(flat) else np.zeros((0, 0))
 
 
-FOUND = "query_id long, vec_id long, score double"
+FOUND = "query long, vec_id long, score double"
 
 
 def _search(k: int, leaf: int):
     def run(rows: pa.Table, queries: pa.Table) -> pa.Table:
         out = []
         if len(rows) and len(queries):
-            tree = KDTree(_matrix(rows.column("vector")), rows.column("id").to_numpy(), leaf)
-            for query, own, floor in zip(_matrix(queries.column("vector")), queries.column("id").to_pylist(),
+            tree = KDTree(_matrix(rows.column("vector")), rows.column("id").to_numpy(), rows.column("row").to_numpy(), leaf)
+            for query, own, floor in zip(_matrix(queries.column("vector")), queries.column("row").to_pylist(),
                                          queries.column("floor").to_pylist()):
                 found = tree.top(query, own, k, -np.inf if floor is None else floor)
                 out += [(own, i, s) for s, i in found]
         values = list(zip(*out)) if out else [()] * 3
-        return pa.table({"query_id": pa.array(values[0], pa.int64()), "vec_id": pa.array(values[1], pa.int64()),
+        return pa.table({"query": pa.array(values[0], pa.int64()), "vec_id": pa.array(values[1], pa.int64()),
                          "score": pa.array(values[2], pa.float64())})
     return run
 
@@ -130,14 +130,14 @@ def whole_vectors(table: DataFrame, key: str, vector: str, scale: int) -> DataFr
 def top_k(table: DataFrame, every: int = 50, k: int = 5, scale: int = 256, key: str = "vec_id", vector: str = "embedding",
           shard_rows: int = SHARD_ROWS, block_queries: int = BLOCK_QUERIES, leaf: int = LEAF) -> DataFrame:
     """(query_id, rank, vec_id, score) for every row whose id is divisible by `every`."""
-    points = settle(whole_vectors(table, key, vector, scale))
+    points = settle(whole_vectors(table, key, vector, scale).withColumn("row", F.monotonically_increasing_id()))
     n = points.count()
     shards, blocks = max(1, -(-n // shard_rows)), max(1, -(-n // (every * block_queries)))
     # pmod of two hashes with unlike seeds: ids in arithmetic progression still spread evenly
     spread = lambda column, parts, seed: F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(parts))
-    rows = points.select(*[F.col(c).alias(c) for c in points.columns], spread("id", shards, 1).alias("shard"))
-    queries = points.where(F.col("id") % every == 0).select("id", "vector", "dims", spread("id", blocks, 2).alias("block"),
-                                                            spread("id", shards, 3).alias("home"))
+    rows = points.select(*[F.col(c).alias(c) for c in points.columns], spread("row", shards, 1).alias("shard"))
+    queries = points.where(F.col("id") % every == 0).select("row", "vector", "dims", spread("row", blocks, 2).alias("block"),
+                                                            spread("row", shards, 3).alias("home"))
 
     def search(asked: DataFrame) -> DataFrame:
         """`asked` has the shard each query is to go to; every shard meets every block of queries it is asked by."""
@@ -146,22 +146,23 @@ def top_k(table: DataFrame, every: int = 50, k: int = 5, scale: int = 256, key:
         cells = ["shard", "block", "dims"]
         return met.groupBy(*cells).cogroup(asked.groupBy(*cells)).applyInArrow(_search(k, leaf), FOUND)
 
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     first = settle(search(queries.withColumn("shard", F.col("home")).withColumn("floor", F.lit(None).cast("double"))))
-    kth = first.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
+    kth = first.groupBy("query").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
     others = F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home"))
-    rest = (queries.join(kth.withColumnRenamed("query_id", "id"), "id", "left")
+    rest = (queries.join(kth.withColumnRenamed("query", "row"), "row", "left")
             .withColumn("shard", F.explode(others)).withColumn("shard", F.col("shard").cast("long")))
+    names = points.where(F.col("id") % every == 0).select(F.col("row").alias("query"), F.col("id").alias("query_id"))
     return (first.unionAll(search(rest)).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score")))
+            .join(names, "query").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", F.col("score").cast("long").alias("score")))
 
 
 QUERY_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+WITH v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
-  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id AND len(q.e) = len(v.e))
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+s AS MATERIALIZED (SELECT q.r, q.vec_id AS query_id, v.vec_id, list_dot_product(q.e, v.e)::BIGINT AS score
+  FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.r <> v.r AND len(q.e) = len(v.e))
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM s QUALIFY rank <= 5
 """

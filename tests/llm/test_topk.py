@@ -17,12 +17,13 @@ def vectors(n=700, dims=6, seed=1):
 
 
 def brute(rows, every=50, k=5):
-    whole = {i: [math.floor(256 * np.float32(x).item()) for x in v] for i, v in rows
-             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    whole = [(i, [math.floor(256 * np.float32(x).item()) for x in v]) for i, v in rows
+             if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, v in whole.items():
+    for own, (q, v) in enumerate(whole):
         if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in whole.items() if i != q and len(w) == len(v))
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for other, (i, w) in enumerate(whole)
+                            if other != own and len(w) == len(v))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -38,7 +39,7 @@ def test_against_brute_force(spark, conf):
 def test_tree_prunes_and_stays_exact():
     rng = np.random.default_rng(5)
     points = np.floor(rng.normal(size=(5000, 3)) * 256)
-    tree = topk.KDTree(points, np.arange(5000), 32)
+    tree = topk.KDTree(points, np.arange(5000), np.arange(5000), 32)
     for q in points[:40]:
         scores = points @ q
         wanted = sorted((-s, i) for i, s in enumerate(scores) if i != 3)[:5]
@@ -54,3 +55,12 @@ def test_few_rows_and_none(spark):
     got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in topk.top_k(few).collect()]
     assert sorted(got) == [(50, 1, 100, 131072), (50, 2, 51, 65536), (100, 1, 50, 131072), (100, 2, 51, 0)]
     assert topk.top_k(few.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("conf", [{}, {"shard_rows": 40, "leaf": 8, "block_queries": 2}])
+def test_rows_of_one_id_are_queries_and_candidates_of_their_own(spark, conf):
+    rng = random.Random(4)
+    rows = [(i % 60, [rng.gauss(0, 1) for _ in range(4)]) for i in range(200)]
+    rows += [(50, list(rows[3][1])), (50, list(rows[50][1])), (0, list(rows[0][1])), (7, list(rows[0][1]))]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), **conf).collect()
+    assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == brute(rows)
