@@ -119,7 +119,7 @@ def fit_powers(df: DataFrame, columns: Sequence[str], step: float = 1e-3) -> dic
                                  for i, c in enumerate(columns) if row[f"a{i}"] != row[f"z{i}"]]).first().asDict()
     means = {c: float(row[f"m{i}"]) for i, c in enumerate(columns) if between.get(f"b{i}")}
     grids = {c: np.linspace(-4.0, 4.0, 17) for c in means}
-    values = df.select(*[number(c).alias(f"x{i}") for i, c in enumerate(means)])
+    values = settle(df.select(*[number(c).alias(f"x{i}") for i, c in enumerate(means)])) if means else df.limit(0)
     while any(g[1] > g[0] for g in grids.values()):
         scored = {(r["i"], r["j"]): r
                   for r in _power_moments(values, list(grids.values()), list(means.values())).collect()}
