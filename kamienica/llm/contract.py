@@ -85,7 +85,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = sentencepiece_codec.encode_and_decode(docs, path)
+    both = sentencepiece_codec.encode_and_decode(docs, path, search="viterbi")
     return both.select("doc_id", "n_pieces", F.sha2(F.concat_ws(",", "pieces"), 256).alias("ids_sha256"),
                        F.xxhash64("decoded").alias("decoded_hash"), F.expr("decoded <=> text").alias("round_trip"))
 

@@ -173,13 +173,20 @@ def with_score(measured: DataFrame, forest: Forest | None) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", loss: float = 0.01,
         trees: int = TREES, sample: int = SAMPLE) -> tuple[QualityModel, DataFrame]:
-    """The model, and the written table (key, __measures) it was fitted on.
+    """The model, and the written table (key, __measures) it was fitted on."""
+    measured = settle(measure(docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")), "__text")
+                      .select("__key", "__measures"))
+    return fit_measured(measured, labels, "__key", loss, trees, sample)
+
+
+def fit_measured(measured: DataFrame, labels: DataFrame, key: str = "doc_id", loss: float = 0.01, trees: int = TREES,
+                 sample: int = SAMPLE) -> tuple[QualityModel, DataFrame]:
+    """The model for rows with `__measures`, best a written table as it is read twice, and its (key, __measures).
 
     The forest is grown from the `trees` * `sample` documents that pass the base rules and have the lowest hashes; all
     labelled documents count for the threshold.
     """
-    measured = settle(measure(docs.select(F.col(key).alias("__key"), F.col(text).alias("__text")), "__text")
-                      .select("__key", "__measures"))
+    measured = measured.select(F.col(key).alias("__key"), "__measures")
     passing = measured.where(~base_failed(F.col("__measures")))
     rows = (passing.orderBy(F.xxhash64("__key", *[F.col(f"__measures.{m}") for m in MEASURES])).limit(trees * sample)
             .select("__measures.*").toPandas())

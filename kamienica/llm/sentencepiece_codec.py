@@ -2,11 +2,12 @@
 
 A text is cut into words that no piece crosses; a task encodes each distinct word once, all words of one length together:
 
-* Unigram models: batched Viterbi. For each end position all words advance at once; the hashes of all substrings ending
-  there probe the sorted hashes of the pieces, and the maximum over their scores is kept with a back pointer.
-* Pair-merging models: their ids are defined by merges in order of score, not by the best sum of scores, so Viterbi would
-  not give the ids of the model. Words of one length are merged together instead (see `pair_merge`), every pair of pieces
-  whose concatenation is a piece being found in sorted keys.
+* `search="viterbi"`: the pieces of the best sum of scores, by batched Viterbi. The hashes of all substrings of a block of words
+  probe the sorted hashes of the pieces; then all words advance together, end by end, and the maximum over the pieces that
+  end there is kept with a back pointer. Sums are doubles; of equal ones the longest last piece wins.
+* `search="model"` (the default): what the model file itself asks for. That is the same for unigram models. The ids of
+  pair-merging models are defined by merges in order of score, not by a sum; their words of one length are merged together
+  (see `pair_merge`), every pair of pieces whose concatenation is a piece being found in sorted keys.
 
 Characters without a piece become byte pieces where the model has them, else the unknown piece.
 
@@ -24,12 +25,13 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kamienica.llm.pair_merge import PairTable, merge_words
-from kamienica.llm.token_counts import chunks
 
 RESULT = ("pieces", "n_pieces", "decoded")
 BLANK = "▁"
@@ -40,6 +42,8 @@ UNKNOWN_PENALTY = 10.0
 WORD = regex.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 KEPT = 200_000  # encoded words a task remembers before it starts anew
 CHUNK = 1 << 20  # characters handled at a time
+BLOCK = 1 << 15  # characters of words that advance together
+SLOTS = 20  # leading bits of a hash by which the sorted keys are entered
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -113,13 +117,16 @@ class Model:
 class Encoder:
     """Words to piece ids; ids from `base` on stand for characters without a piece."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, search: str = "model"):
+        if search not in ("model", "viterbi"):
+            raise ValueError(f"no search of this name: {search}")
         self.model, self.base = model, len(model.pieces)
+        self.merging = search == "model" and model.kind == PAIRS
         self.ids = model.normal()
         if any(BLANK in p.lstrip(BLANK) for p in self.ids):
             raise ValueError("pieces that go on behind a blank are not taken")
         self.longest = max(map(len, self.ids), default=1)
-        if model.kind == PAIRS:
+        if self.merging:
             left, right, rank, merged = [], [], [], []
             for piece, i in self.ids.items():
                 for cut in range(1, len(piece)):
@@ -130,103 +137,139 @@ class Encoder:
             order = np.unique(np.array(rank, np.float64), return_inverse=True)[1]
             self.table = PairTable(left, right, order, merged)
         else:
-            texts = sorted(self.ids, key=len)
-            hashes = np.array([int(hash_prefixes(np.array([[ord(c) for c in t]]))[0, -1]) for t in texts], np.uint64)
-            hashes = seal(hashes, np.array([len(t) for t in texts], np.uint64))
-            order = np.argsort(hashes)
-            self.keys, self.values = hashes[order], np.array([self.ids[t] for t in texts], np.int64)[order]
-            if len(np.unique(self.keys)) < len(self.keys):
-                raise ValueError("two pieces share a hash")
-            self.lowest = np.float32(min((model.scores[i] for i in self.ids.values()), default=0) - UNKNOWN_PENALTY)
+            self._sort_keys()
+
+    def _sort_keys(self) -> None:
+        """The hashes of the pieces in order, and where those of each run of leading bits begin."""
+        hashes, values = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for n, texts in by_length(self.ids):
+            hashes.append(seal(hash_prefixes(code_points(texts, n))[-1], n))
+            values.append(np.array([self.ids[t] for t in texts], np.int64))
+        keys, values = np.concatenate(hashes), np.concatenate(values)
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order].astype(np.int32)
+        if (self.keys[1:] == self.keys[:-1]).any():
+            raise ValueError("two pieces share a hash")
+        slots = (self.keys >> np.uint64(64 - SLOTS)).astype(np.int64)
+        self.first = np.full(1 << SLOTS, -1, np.int32)
+        self.first[slots[::-1]] = np.arange(len(slots), dtype=np.int32)[::-1]
+        self.crowd = int(np.bincount(slots).max()) if len(slots) else 0
+        self.scores = self.model.scores.astype(np.float64)
+        self.lowest = min((self.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
 
     def _symbol(self, text: str) -> int | None:
         found = self.ids.get(text)
         return found if found is not None else self.base + ord(text) if len(text) == 1 else None
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word, characters without a piece spelled out in bytes."""
-        if self.model.kind == PAIRS:
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Ids of each word as packed 32-bit integers, characters without a piece spelled out in bytes."""
+        if self.merging:
             letters = {c: self._symbol(c) for c in set().union(*words)}
-            raw = merge_words([np.array([letters[c] for c in w], np.int64) for w in words], self.table)
-        else:
-            raw = self._viterbi(words)
-        return [self._spelled(row.tolist()) for row in raw]
+            merged = merge_words([np.array([letters[c] for c in w], np.int64) for w in words], self.table)
+            return [self._spelled(row) for row in merged]
+        result = [b""] * len(words)
+        for n, who in by_length(range(len(words)), lambda i: len(words[i])):
+            step = max(1, BLOCK // max(n, 1))
+            for at in range(0, len(who) if n else 0, step):
+                some = who[at:at + step]
+                flat, ends = self._viterbi(code_points([words[i] for i in some], n))
+                data, bounds = flat.tobytes(), [0, *(4 * ends).tolist()]
+                for i, begin, end in zip(some, bounds, bounds[1:]):
+                    result[i] = data[begin:end]
+                odd = np.searchsorted(ends, np.flatnonzero(flat >= self.base), side="right")
+                for k in set(odd.tolist()):
+                    result[some[k]] = self._spelled(np.frombuffer(result[some[k]], np.int32))
+        return result
 
-    def _spelled(self, row: list[int]) -> list[int]:
-        if max(row, default=0) < self.base:
-            return row
+    def _spelled(self, row: np.ndarray) -> bytes:
         out: list[int] = []
-        for i in row:
+        for i in row.tolist():
             if i < self.base:
                 out.append(i)
             elif self.model.byte_ids:
                 out += [self.model.byte_ids[b] for b in chr(i - self.base).encode()]
             elif not out or out[-1] != self.model.unknown:  # a run of unknown characters is one unknown piece
                 out.append(self.model.unknown)
-        return out
-
-    def _viterbi(self, words: list[str]) -> list[np.ndarray]:
-        result: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
-        by_length: dict[int, list[int]] = {}
-        for i, word in enumerate(words):
-            by_length.setdefault(len(word), []).append(i)
-        for n, who in by_length.items():
-            if not n:
-                continue
-            codes = np.array([[ord(c) for c in words[i]] for i in who], np.int64)
-            prefixes, m = hash_prefixes(codes), len(who)
-            best = np.full((m, n + 1), -np.inf, np.float32)
-            best[:, 0] = 0
-            back, piece = np.zeros((m, n + 1), np.int64), np.zeros((m, n + 1), np.int64)
-            for end in range(1, n + 1):
-                widths = np.arange(min(end, self.longest), 0, -1)  # longer pieces first: the first maximum wins
-                hashes = seal(substring_hash(prefixes, end - widths, end), widths.astype(np.uint64))
-                at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
-                known = self.keys[at] == hashes
-                ids = np.where(known, self.values[at], 0)
-                scores = np.where(known, best[:, end - widths] + self.model.scores[ids], np.float32(-np.inf))
-                alone = ~known[:, -1]
-                scores[alone, -1] = best[alone, end - 1] + self.lowest
-                ids[alone, -1] = self.base + codes[alone, end - 1]
-                top, rows = scores.argmax(axis=1), np.arange(m)
-                best[:, end], piece[:, end], back[:, end] = scores[rows, top], ids[rows, top], end - widths[top]
-            for row, i in enumerate(who):
-                path, at = [], n
-                while at:
-                    path.append(piece[row, at])
-                    at = back[row, at]
-                result[i] = np.array(path[::-1], np.int64)
-        return result
+        return np.array(out, np.int32).tobytes()
+
+    def _found(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the hashes that are keys, and the pieces these stand for."""
+        at = self.first[(hashes >> np.uint64(64 - SLOTS)).astype(np.int64)]
+        place = np.flatnonzero(at >= 0)
+        at, wanted = at[place], hashes[place]
+        for _ in range(self.crowd - 1):
+            at += self.keys[at] < wanted
+            np.minimum(at, len(self.keys) - 1, out=at)
+        hit = self.keys[at] == wanted
+        return place[hit], self.values[at[hit]]
+
+    def _viterbi(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of words of one length (a column each), one word after the other, and where each word's end."""
+        n, m = codes.shape
+        prefixes, wide = hash_prefixes(codes), min(n, self.longest)
+        # what ends at a place, the widest first; columns are words
+        gain, piece = np.full((n, wide, m), -np.inf), np.zeros((n, wide, m), np.int32)
+        for width in range(1, wide + 1):
+            power = np.uint64(pow(int(MIX), width, 1 << 64))
+            place, ids = self._found(seal(prefixes[width:] - prefixes[:-width] * power, width).ravel())
+            end, row = place // m + width - 1, place % m
+            gain[end, wide - width, row], piece[end, wide - width, row] = self.scores[ids], ids
+        alone = np.isneginf(gain[:, -1])
+        gain[:, -1][alone], piece[:, -1][alone] = self.lowest, self.base + codes[alone]
+        best, back = np.full((wide + n, m), -np.inf), np.zeros((n, m), np.uint8 if wide < 256 else np.int32)
+        best[wide - 1], widths = 0, np.arange(wide, 0, -1).astype(back.dtype)[:, None]
+        for end in range(n):
+            sums = best[end:end + wide] + gain[end]
+            top = sums.max(axis=0)
+            best[end + wide] = top
+            np.max((sums == top) * widths, axis=0, out=back[end])  # of equal sums the longest piece
+        taken, chosen = np.zeros((m, n), bool), np.zeros((m, n), np.int32)
+        row, end = np.arange(m), np.full(m, n - 1)
+        while len(row):
+            width = back[end, row].astype(np.int64)
+            taken[row, end], chosen[row, end] = True, piece[end, wide - width, row]
+            end = end - width
+            on = end >= 0
+            row, end = row[on], end[on]
+        return chosen[taken], np.cumsum(taken.sum(axis=1))
+
+
+def by_length(items, length=len) -> list[tuple[int, list]]:
+    out: dict[int, list] = {}
+    for item in items:
+        out.setdefault(length(item), []).append(item)
+    return list(out.items())
+
+
+def code_points(words: list[str], n: int) -> np.ndarray:
+    """Words of n characters as columns."""
+    raw = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    return np.ascontiguousarray(raw.reshape(len(words), n).T).astype(np.int64)
 
 
 def hash_prefixes(codes: np.ndarray) -> np.ndarray:
-    """Polynomial hash of every prefix of each row, the empty one first."""
-    out = np.zeros((codes.shape[0], codes.shape[1] + 1), np.uint64)
-    for j in range(codes.shape[1]):
-        out[:, j + 1] = out[:, j] * MIX + codes[:, j].astype(np.uint64) + np.uint64(1)
+    """Polynomial hash of every prefix of each column, the empty one first."""
+    out = np.zeros((codes.shape[0] + 1, codes.shape[1]), np.uint64)
+    for j in range(codes.shape[0]):
+        out[j + 1] = out[j] * MIX + codes[j].astype(np.uint64) + np.uint64(1)
     return out
 
 
-def substring_hash(prefixes: np.ndarray, starts: np.ndarray, end: int) -> np.ndarray:
-    powers = np.array([pow(int(MIX), end - int(s), 1 << 64) for s in starts], np.uint64)
-    return prefixes[:, [end]] - prefixes[:, starts] * powers[None, :]
-
+def seal(hashes: np.ndarray, length: int) -> np.ndarray:
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(length)
+    return (mixed ^ (mixed >> np.uint64(32))) * MIX
 
-def seal(hashes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    mixed = (hashes ^ (hashes >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + lengths
-    return mixed ^ (mixed >> np.uint64(32))
 
-
-def text_encoder(model: Model):
+def text_encoder(model: Model, search: str = "model"):
     """A function from texts to arrays of their piece ids; keeps the words it has encoded, as packed integers."""
-    encoder, known = Encoder(model), {}
+    encoder, known = Encoder(model, search), {}
 
     def encode(texts: list[str]) -> list[np.ndarray]:
         if len(known) > KEPT:
             known.clear()
         cut = [WORD.findall((BLANK if model.prefix and t else "") + t.replace(" ", BLANK)) for t in texts]
         new = list(set().union(*cut) - known.keys())
-        known.update(zip(new, [np.array(ids, np.int32).tobytes() for ids in encoder.encode(new)]))
+        known.update(zip(new, encoder.encode(new)))
         return [np.frombuffer(b"".join([known[w] for w in words]), np.int32) for words in cut]
 
     return encode
@@ -244,39 +287,61 @@ def text_decoder(model: Model):
     return decode
 
 
-def _converted(docs: DataFrame, path: str, text: str, and_back: bool) -> DataFrame:
+def _converted(docs: DataFrame, path: str, text: str, and_back: bool, search: str) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(Model.load(path))  # bounded by the model file
-    schema = "pieces array<int>" + ", decoded string" * and_back
-
-    @F.pandas_udf(schema)
-    def convert(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        to_ids, to_text = text_encoder(model.value), text_decoder(model.value)
-        for batch in batches:
-            ids: list[np.ndarray] = []
-            for part in chunks(batch.fillna("").tolist(), CHUNK):
-                ids += to_ids(part)
-            yield pd.DataFrame({"pieces": pd.Series(ids, dtype=object)} | (
-                {"decoded": pd.Series([to_text(row) for row in ids], dtype=object)} if and_back else {}))
-
     names = RESULT if and_back else RESULT[:2]
     kept = [c for c in docs.columns if c.lower() not in names]
     own = [f"__row{i}" for i in range(len(kept))]
-    out = docs.select(*[F.col(c).alias(n) for c, n in zip(kept, own)], F.col(text).alias("__text")).withColumn(
-        "__out", convert("__text"))
-    there = F.col("__text").isNotNull()
-    return out.select(*[F.col(n).alias(c) for c, n in zip(kept, own)], *[F.when(there, e).alias(n) for n, e in (
-        ("pieces", F.col("__out.pieces")), *[("decoded", F.col("__out.decoded"))] * and_back)]).withColumn(
+    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(kept, own)], F.col(text).alias("__text"))
+    schema = T.StructType(rows.schema.fields[:-1] + [T.StructField("pieces", T.ArrayType(T.IntegerType()))] + [
+        T.StructField("decoded", T.StringType())] * and_back)
+
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_ids, to_text = text_encoder(model.value, search), text_decoder(model.value)
+        for batch in batches:
+            at, column = 0, batch.column(len(own))
+            for part in text_runs(column):
+                ids = to_ids([t or "" for t in part])
+                there = [t is not None for t in part]
+                columns = [c.slice(at, len(part)) for c in batch.columns[:-1]]
+                columns.append(packed(ids, there))
+                if and_back:
+                    columns.append(pa.array([to_text(row) if t else None for row, t in zip(ids, there)], pa.string()))
+                at += len(part)
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    out = rows.mapInArrow(convert, schema)
+    return out.select(*[F.col(n).alias(c) for c, n in zip(kept, own)], "pieces", *["decoded"] * and_back).withColumn(
         "n_pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long"))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def text_runs(column: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a column in order, about a chunk of characters at a time, so that few are held as Python strings."""
+    run, size = [], 0
+    for value in column:
+        run.append(value.as_py())
+        size += len(run[-1] or "")
+        if size >= CHUNK:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def packed(rows: list[np.ndarray], there: list[bool]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *rows]), pa.int32()),
+                                    mask=pa.array([not t for t in there], pa.bool_()))
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", search: str = "model") -> DataFrame:
     """Every document with `pieces` (ids) and `n_pieces`."""
-    return _converted(docs, path, text, False)
+    return _converted(docs, path, text, False, search)
 
 
-def encode_and_decode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode_and_decode(docs: DataFrame, path: str, text: str = "text", search: str = "model") -> DataFrame:
     """Every document with `pieces`, `n_pieces` and `decoded`, the text of these pieces, by one Python process a task."""
-    return _converted(docs, path, text, True)
+    return _converted(docs, path, text, True, search)
 
 
 def decode(encoded: DataFrame, path: str, pieces: str = "pieces") -> DataFrame:

@@ -84,6 +84,86 @@ def test_codec_equals_the_library_and_round_trips(spark):
     assert codec.encode(frame(spark, []), PIECES).collect() == []
 
 
+def best_sum_library(path):
+    """The library over the same pieces, its search set to the best sum of scores: the later message wins."""
+    with open(path, "rb") as file:
+        return sentencepiece.SentencePieceProcessor(model_proto=file.read() + message([(2, message([(3, codec.UNIGRAM)]))]))
+
+
+def piece_scores(path):
+    model = codec.Model.load(path)
+    return model.scores.astype(float)
+
+
+def same_by_word(pieces, library, text, scores):
+    """Whether each word has the library's pieces, or others of the same sum. The library adds in single precision, so words
+    are compared, not texts, and a better sum than the library's counts as right."""
+    model_text = (codec.BLANK if text else "") + text.replace(" ", codec.BLANK)
+    at = 0
+    spelled = [library.id_to_piece(i) for i in pieces]
+    for word in codec.WORD.findall(model_text):
+        size, begin = len(word.encode()), at
+        while size > 0:
+            p = spelled[at]
+            size -= 1 if library.is_byte(pieces[at]) else len(p.encode())
+            at += 1
+        mine = pieces[begin:at]
+        theirs = library.encode(word.replace(codec.BLANK, " ")[1:]) if word.startswith(codec.BLANK) else None
+        if size or theirs and mine != theirs and scores[mine].sum() < scores[theirs].sum() - 1e-9:
+            return False
+    return at == len(pieces)
+
+
+def test_best_sum_of_merge_pieces_against_the_library(spark):
+    library, scores = best_sum_library(PIECES), piece_scores(PIECES)
+    rows = documents() + [(500 + i, t, "en", "a", 1) for i, t in enumerate(ODD)]
+    docs = clashing(frame(spark, rows), ("pieces", "decoded"))
+    got = codec.encode_and_decode(docs, PIECES, search="viterbi").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        if r["text"] is None:
+            assert r["pieces"] is None and r["n_pieces"] == 0 and r["decoded"] is None
+            continue
+        assert same_by_word(r["pieces"], library, r["text"], scores), r["text"][:80]
+        assert r["n_pieces"] == len(r["pieces"]) and r["decoded"] == r["text"].replace("▁", " ")
+    assert codec.encode_and_decode(frame(spark, []), PIECES, search="viterbi").collect() == []
+
+
+@given(st.lists(st.text("abcd ▁é😀", max_size=12), min_size=1, max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_viterbi_finds_the_best_sum(words):
+    model = codec.Model.load(PIECES)
+    encoder, ids = shared_encoder(model), model.normal()
+    words = [w for w in words if w]
+
+    def best(word):  # plain search over all last pieces
+        sums = [0.0]
+        for end in range(1, len(word) + 1):
+            found = [sums[end - w] + float(model.scores[ids[word[end - w:end]]]) for w in range(1, min(end, encoder.longest) + 1)
+                     if word[end - w:end] in ids]
+            alone = [] if word[end - 1] in ids else [sums[end - 1] + encoder.lowest]
+            sums.append(max(found + alone))
+        return sums[-1]
+    for n, who in codec.by_length(words):
+        flat, ends = encoder._viterbi(codec.code_points(who, n))
+        import numpy as np
+        for word, row in zip(who, np.split(flat, ends[:-1])):
+            got = sum(encoder.lowest if i >= encoder.base else float(model.scores[i]) for i in row)
+            assert got == best(word)
+            assert "".join(chr(i - encoder.base) if i >= encoder.base else model.pieces[i] for i in row) == word
+
+
+def shared_encoder(model, kept={}):
+    if not kept:
+        kept[0] = codec.Encoder(model, "viterbi")
+    return kept[0]
+
+
+def test_unknown_search_is_refused():
+    with pytest.raises(ValueError):
+        codec.Encoder(codec.Model.load(PIECES), "best")
+
+
 def message(parts):
     """Protocol buffer bytes from (number, value): int, float, str or bytes."""
     import struct
