@@ -17,8 +17,9 @@ from kamienica.session import settle
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the isolation forest."""
-    model, _ = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.judge(quality.measure(docs), model).where("kept").select(*docs.columns)
+    measured = settle(quality.measure(docs))  # written once, so that no text is measured again for the verdict
+    model, _ = quality.fit_measured(measured, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.judge(measured, model).where("kept").select(*docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +41,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with piece ids, their number, and whether they decode to the text."""
+    """Documents with piece ids (the best sum of scores), their number, and whether they decode to the text."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    return sentencepiece_codec.encode_and_decode(docs, path).withColumn("round_trip", F.expr("decoded <=> text")).drop("decoded")
+    return sentencepiece_codec.encode_and_decode(docs, path, search="viterbi").withColumn("round_trip", F.expr("decoded <=> text")).drop("decoded")
 
 
 STAGES = [("quality_rules", quality_rules), ("simhash_near_dedup", simhash_near_dedup),
