@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from kamienica.contract.profiling import FIRST_SEEN_SQL
 from kamienica.contract.registry import query, table
-from kamienica.operators import encode, neighbours, gram, outliers, scale
+from kamienica.operators import encode, gram, neighbours, outliers, scale, sketch_pca
 from kamienica.plans.features import FeatureConfig, build_features
 
 _ORDINAL = """(SELECT value, row_number() OVER (ORDER BY value) - 1 AS code
@@ -384,3 +384,17 @@ def features_scaled(spark, folder):
     return both.select(
         "o_orderkey", "label", F.round(value[place["o_custkey"]], 6).alias("customer"),
         value[place["o_orderstatus_O"]].alias("status_o"), value[place["o_orderstatus_P"]].alias("status_p"), "is_test")
+
+
+@query("pca_sketch", """
+    WITH s AS (SELECT var_samp(l_quantity::DOUBLE) AS a, var_samp(l_extendedprice::DOUBLE / 1000) AS c,
+                      covar_samp(l_quantity::DOUBLE, l_extendedprice::DOUBLE / 1000) AS b FROM lineitem),
+         e AS (SELECT a + c AS whole, (a + c) / 2 + sqrt(((a - c) / 2) ^ 2 + b * b) AS high FROM s)
+    SELECT 1 AS component, round(high, 4) AS variance, round(high / whole, 6) AS ratio FROM e
+    UNION ALL SELECT 2, round(whole - high, 4), round(1 - high / whole, 6) FROM e""")
+def pca_sketch(spark, folder):
+    rows = table(spark, folder, "lineitem").select(
+        F.array(F.col("l_quantity").cast("double"), F.col("l_extendedprice").cast("double") / 1000).alias("features"))
+    fitted = sketch_pca.fit(rows, 2)
+    return spark.createDataFrame([(i + 1, round(float(v), 4), round(float(r), 6)) for i, (v, r) in enumerate(
+        zip(fitted.variance, fitted.ratios))], "component int, variance double, ratio double")
