@@ -207,32 +207,43 @@ class Encoder:
         """Pieces of words of one length (a column each), one word after the other, and where each word's end."""
         n, m = codes.shape
         prefixes, wide = hash_prefixes(codes), min(n, self.longest)
-        # what ends at a place, the widest first; columns are words
-        gain, piece = np.full((n, wide, m), -np.inf), np.zeros((n, wide, m), np.int32)
-        for width in range(1, wide + 1):
-            power = np.uint64(pow(int(MIX), width, 1 << 64))
-            place, ids = self._found(seal(prefixes[width:] - prefixes[:-width] * power, width).ravel())
-            end, row = place // m + width - 1, place % m
-            gain[end, wide - width, row], piece[end, wide - width, row] = self.scores[ids], ids
-        alone = np.isneginf(gain[:, -1])
-        gain[:, -1][alone], piece[:, -1][alone] = self.lowest, self.base + codes[alone]
         best, back = np.full((wide + n, m), -np.inf), np.zeros((n, m), np.uint8 if wide < 256 else np.int32)
         best[wide - 1], widths = 0, np.arange(wide, 0, -1).astype(back.dtype)[:, None]
-        for end in range(n):
-            sums = best[end:end + wide] + gain[end]
-            top = sums.max(axis=0)
-            best[end + wide] = top
-            np.max((sums == top) * widths, axis=0, out=back[end])  # of equal sums the longest piece
+        own, step = np.zeros((n, m), np.int32), max(1, BLOCK // m)
+        for begin in range(0, n, step):  # a long word goes stretch by stretch
+            stop = min(begin + step, n)
+            gain, piece = self._ending(codes, prefixes, begin, stop, wide)
+            for end in range(begin, stop):
+                sums = best[end:end + wide] + gain[end - begin]
+                top = sums.max(axis=0)
+                best[end + wide] = top
+                np.max((sums == top) * widths, axis=0, out=back[end])  # of equal sums the longest piece
+            at = wide - back[begin:stop].astype(np.int64)
+            own[begin:stop] = np.take_along_axis(piece, at[:, None], axis=1)[:, 0]
         taken, chosen = np.zeros((m, n), bool), np.zeros((m, n), np.int32)
         row, end = np.arange(m), np.full(m, n - 1)
         while len(row):
             width = back[end, row].astype(np.int64)
-            taken[row, end], chosen[row, end] = True, piece[end, wide - width, row]
+            taken[row, end], chosen[row, end] = True, own[end, row]
             end = end - width
             on = end >= 0
             row, end = row[on], end[on]
         return chosen[taken], np.cumsum(taken.sum(axis=1))
 
+    def _ending(self, codes: np.ndarray, prefixes: np.ndarray, begin: int, stop: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of what ends at each place from `begin` to `stop`, the widest first; -inf where no piece does."""
+        m = codes.shape[1]
+        gain, piece = np.full((stop - begin, wide, m), -np.inf), np.zeros((stop - begin, wide, m), np.int32)
+        for width in range(1, min(wide, stop) + 1):
+            power, low = np.uint64(pow(int(MIX), width, 1 << 64)), max(begin, width - 1)
+            hashes = prefixes[low + 1:stop + 1] - prefixes[low + 1 - width:stop + 1 - width] * power
+            place, ids = self._found(seal(hashes, width).ravel())
+            end, row = place // m + low - begin, place % m
+            gain[end, wide - width, row], piece[end, wide - width, row] = self.scores[ids], ids
+        alone = np.isneginf(gain[:, -1])
+        gain[:, -1][alone], piece[:, -1][alone] = self.lowest, self.base + codes[begin:stop][alone]
+        return gain, piece
+
 
 def by_length(items, length=len) -> list[tuple[int, list]]:
     out: dict[int, list] = {}

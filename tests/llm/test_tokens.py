@@ -153,6 +153,15 @@ def test_viterbi_finds_the_best_sum(words):
             assert "".join(chr(i - encoder.base) if i >= encoder.base else model.pieces[i] for i in row) == word
 
 
+def test_long_words_go_stretch_by_stretch(monkeypatch):
+    encoder = shared_encoder(codec.Model.load(PIECES))
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdeinrst▁é😀") for _ in range(n)) for n in (1, 2, 5, 17, 200, 3000)]
+    whole = encoder.encode(words)
+    monkeypatch.setattr(codec, "BLOCK", 7)
+    assert encoder.encode(words) == whole
+
+
 def shared_encoder(model, kept={}):
     if not kept:
         kept[0] = codec.Encoder(model, "viterbi")
