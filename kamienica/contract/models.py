@@ -4,7 +4,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import query, table
-from kamienica.operators import encode, neighbours, scale
+from kamienica.operators import encode, kernel, neighbours, scale
 from kamienica.operators.boosting import AdaBoostR2
 from kamienica.operators.extra_trees import ExtraTreesRegressor
 from kamienica.operators.sgd import SGDRegressor
@@ -197,6 +197,40 @@ def model_etr(spark, folder):
     return fitted.transform(test).select("c_custkey", F.round("prediction", 5).alias("prediction"))
 
 
+_COSINES = 6
+
+
+def _cosines_sql(count):
+    """The cosines of one feature, drawn from hashes: a normal draw from two shares, a phase from another."""
+    share = "('0x' || substr(md5('123:' || c || ':0'), {at}, 8))::BIGINT"
+    phase = "('0x' || substr(md5('123:' || c), 9, 8))::BIGINT"
+    return f"""
+    WITH d AS (SELECT c, sqrt(2 * 0.25) * sqrt(-2 * ln(({share.format(at=1)} + 1) / 4294967296.0::DOUBLE))
+                      * cos(2 * pi() * {share.format(at=9)} / 4294967296.0::DOUBLE) AS w,
+                      2 * pi() * {phase} / 4294967296.0::DOUBLE AS phase FROM (SELECT unnest(range({count})) AS c)),
+         n AS (SELECT c_nationkey, (c_nationkey - 12) / 7.0::DOUBLE AS x, count(*) AS customers FROM customer
+               GROUP BY c_nationkey)
+    SELECT c_nationkey, customers, c AS component, round(cos(w * x + phase) * sqrt(2.0::DOUBLE / {count}), 8) AS value FROM n, d"""
+
+
+@query("kernel_features", _cosines_sql(_COSINES))
+def kernel_features(spark, folder):
+    """The random Fourier features of every country that has customers."""
+    fourier = kernel.FourierMap(1, _COSINES, 0.25, 123)
+    rows = table(spark, folder, "customer").groupBy("c_nationkey").agg(F.count("*").alias("customers"))
+    lifted = kernel.with_components(rows.withColumn("x", F.array((F.col("c_nationkey") - 12) / 7)), "x", fourier, "z")
+    return lifted.select("c_nationkey", "customers", F.posexplode("z").alias("component", "value")).withColumns(
+        {"component": F.col("component").cast("long"), "value": F.round("value", 8)})
+
+
+@query("model_SVC")
+def model_svc(spark, folder):
+    """Kernel regression of the balance, in thousands, on country and segment, for the held-out customers."""
+    train, test = (df.withColumn("label", F.col("label") / 1000) for df in _customers(spark, folder))
+    fitted = kernel.KernelRegressor(keyCol="c_custkey", components=64, tol=1e-4).fit(train)
+    return fitted.transform(test).select("c_custkey", F.round("prediction", 4).alias("prediction"))
+
+
 query("model_KNN", """
     WITH c AS (SELECT *, ('0x' || substr(md5(c_custkey || ':123'), 1, 8))::BIGINT < 858993459 AS is_test,
                       c_mktsegment = (SELECT min(c_mktsegment) FROM customer) AS is_first FROM customer),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from kamienica import schema
 from kamienica.operators.boosting import AdaBoostR2
 from kamienica.operators.extra_trees import ExtraTreesRegressor
+from kamienica.operators.kernel import KernelRegressor
 from kamienica.operators.neighbours import KNNRegressor
 from kamienica.operators.scale import with_fold
 from kamienica.operators.sgd import SGDRegressor
@@ -35,6 +36,7 @@ def regressors(key: str, seed: int = SEED, trees: int = 100, bags: int = 10, dep
     return {
         "LR": LinearRegression(),
         "KNN": KNNRegressor(keyCol=key, k=5),
+        "SVC": KernelRegressor(keyCol=key, seed=seed),
         "DTC": DecisionTreeRegressor(seed=seed, maxDepth=depth, maxMemoryInMB=512),
         "RF": RandomForestRegressor(seed=seed, numTrees=trees, maxDepth=depth),
         "XGB": GBTRegressor(seed=seed, maxIter=rounds, maxDepth=3, stepSize=0.1),
