@@ -231,6 +231,14 @@ def model_svc(spark, folder):
     return fitted.transform(test).select("c_custkey", F.round("prediction", 4).alias("prediction"))
 
 
+@query("model_MLP")
+def model_mlp(spark, folder):
+    """The network's balance, in thousands, from country and segment, for the held-out customers."""
+    train, test = (df.withColumn("label", F.col("label") / 1000) for df in _customers(spark, folder))
+    fitted = models.regressors("c_custkey")["MLP"].fit(train)
+    return fitted.transform(test).select("c_custkey", F.round("prediction", 4).alias("prediction"))
+
+
 query("model_KNN", """
     WITH c AS (SELECT *, ('0x' || substr(md5(c_custkey || ':123'), 1, 8))::BIGINT < 858993459 AS is_test,
                       c_mktsegment = (SELECT min(c_mktsegment) FROM customer) AS is_first FROM customer),

@@ -103,7 +103,7 @@ def over_blocks(rows: DataFrame, blocks: int, lift: Callable[[np.ndarray], np.nd
     return np.array(row["weights"]), row["loss"]
 
 
-def _by_batch(of: Callable[[np.ndarray], np.ndarray], kind: str):
+def by_batch(of: Callable[[np.ndarray], np.ndarray], kind: str):
     """A function of arrays that hands `of` a bounded number of rows at a time; null stays null."""
     @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -119,7 +119,7 @@ def _by_batch(of: Callable[[np.ndarray], np.ndarray], kind: str):
 
 def with_components(df: DataFrame, features: str, fourier: FourierMap, name: str) -> DataFrame:
     """The table with the components of the array column `features`, as an array."""
-    return df.withColumn(name, _by_batch(fourier.apply, "array<double>")(quoted(features)))
+    return df.withColumn(name, by_batch(fourier.apply, "array<double>")(quoted(features)))
 
 
 class _HasKernel(HasFeaturesCol, HasLabelCol, HasPredictionCol):
@@ -228,5 +228,5 @@ class KernelModel(Model, _HasKernel):
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
         fourier, weights, features = self.fourier, self.weights, quoted(self.getFeaturesCol())
-        predicted = _by_batch(lambda x: fourier.apply(x) @ weights[:-1] + weights[-1], "double")
+        predicted = by_batch(lambda x: fourier.apply(x) @ weights[:-1] + weights[-1], "double")
         return dataset.withColumn(self.getPredictionCol(), predicted(F.when(features.isNotNull(), vector_to_array(features))))

@@ -22,6 +22,7 @@ from kamienica.operators.boosting import AdaBoostR2
 from kamienica.operators.extra_trees import ExtraTreesRegressor
 from kamienica.operators.kernel import KernelRegressor
 from kamienica.operators.neighbours import KNNRegressor
+from kamienica.operators.network import NetworkRegressor
 from kamienica.operators.scale import with_fold
 from kamienica.operators.sgd import SGDRegressor
 
@@ -35,6 +36,7 @@ def regressors(key: str, seed: int = SEED, trees: int = 100, bags: int = 10, dep
     """The compared models by their short names."""
     return {
         "LR": LinearRegression(),
+        "MLP": NetworkRegressor(keyCol=key, seed=seed),
         "KNN": KNNRegressor(keyCol=key, k=5),
         "SVC": KernelRegressor(keyCol=key, seed=seed),
         "DTC": DecisionTreeRegressor(seed=seed, maxDepth=depth, maxMemoryInMB=512),
