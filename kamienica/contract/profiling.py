@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import query, table
-from kamienica.operators import encode, profile
+from kamienica.operators import encode, profile, profile_state
+from kamienica.session import settle
 
 
 def gappy_parts(spark, folder):
@@ -86,6 +87,17 @@ def describe_all(spark, folder):
     return described.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
 
 
+@query("describe_snapshots", "SELECT * EXCLUDE (earliest, latest) FROM (" + " UNION ALL ".join(
+    [_number_sql(c) for c in ("event_id", "user_id", "value")] + [_text_sql(c) for c in ("event_type", "props")]) + ")")
+def describe_snapshots(spark, folder):
+    """States of the events of each day, written, merged, and described: equal to a description of the whole table."""
+    events, day = table(spark, folder, "events"), F.to_date("ts")
+    states = settle(profile_state.snapshot_states(events, day, ["event_id", "user_id", "value"], ["event_type", "props"]))
+    merged = settle(profile_state.merge(states))
+    described = profile_state.describe(merged, events, day)
+    return described.withColumns({c: F.round(c, 4) for c in ("mean", "std", "q25", "q50", "q75")})
+
+
 @query("exact_quantiles", """
     SELECT 'l_extendedprice' AS column, s AS share, round(q, 6) AS value FROM (
         SELECT unnest([0.01, 0.25, 0.5, 0.99]::DOUBLE[]) AS s,
