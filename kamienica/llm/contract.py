@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kamienica.contract.registry import table
 from kamienica.llm import (chat, collocations, filter_audit, mixing, ngram_lm, packing, quality, sentencepiece_codec, simhash, suffix_dedup, token_counts, topk,
-                           url_filter)
+                           url_filter, url_labels)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,7 +38,7 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_url_filter")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
-    model = url_filter.train(url_filter.label_sample(pages))
+    model = url_filter.train(url_labels.labelled_urls(spark))
     return url_filter.judge(pages, model).drop("url")
 
 

@@ -1,7 +1,8 @@
 """URL filter: fixed rules first, then logistic regression on hashed character n-grams of host and path.
 
 Main path in DataFrame functions and Spark ML only. The n-grams are overlapping matches of one pattern, marked with the
-part they come from, hashed into a fixed number of features and counted.
+part they come from and hashed into a fixed number of features, 1 if the n-gram occurs and 0 if not. The labelled table is a
+parameter; `url_labels` has one with hosts of its own.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and no features, so the model's intercept
 decides; a url is judged whole, whatever its length; with no labelled rows, or labels of one kind only, every url that no
@@ -11,7 +12,6 @@ result columns are replaced.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -24,9 +24,6 @@ from pyspark.sql import functions as F
 
 RESULT = ("host", "path", "rule", "verdict", "block_probability")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LABELLED = 4000  # bound on the labelled table: half of it per label
-#: Words whose presence in a host marks it as unwanted in the labelled table.
-UNWANTED = ("pills", "casino", "bets", "adult", "spam", "ads-")
 
 
 @dataclass(frozen=True)
@@ -85,16 +82,6 @@ def train(labelled: DataFrame, url: str = "url", label: str = "blocked", feature
                                                predictionCol="__y", regParam=1e-3, maxIter=40, aggregationDepth=2)]).fit(rows)
 
 
-def label_sample(pages: DataFrame, url: str = "url", words: Sequence[str] = UNWANTED, most: int = LABELLED) -> DataFrame:
-    """A small labelled URL table: urls whose host holds one of `words` count as blocked; of each label the `most` / 2
-    urls with the lowest hashes are taken."""
-    named = pages.where(F.col(url).isNotNull()).select(F.col(url).alias("url")).withColumn(
-        "blocked", F.rlike(host_of(F.col("url")), F.lit("|".join(map(re.escape, words)))).cast("int"))
-    named = named.withColumn("__order", F.xxhash64("url"))
-    return named.where("blocked = 1").orderBy("__order", "url").limit(most // 2).unionAll(
-        named.where("blocked = 0").orderBy("__order", "url").limit(most // 2)).drop("__order")
-
-
 def judge(pages: DataFrame, model: PipelineModel | None, rules: Sequence[Rule] = RULES, url: str = "url",
           otherwise: str = "allow") -> DataFrame:
     """Every row with `host`, `path`, `rule`, `verdict` and `block_probability` (the model's, else null)."""

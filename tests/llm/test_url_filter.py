@@ -1,6 +1,7 @@
 import re
+from urllib.parse import urlsplit
 
-from kamienica.llm import url_filter
+from kamienica.llm import url_filter, url_labels
 
 RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"),
          ("block", "net/fr/")]
@@ -67,8 +68,23 @@ def test_no_labels_one_label_and_empty(spark):
     assert url_filter.judge(pages(spark).limit(0), None).collect() == []
 
 
-def test_label_sample_is_bounded(spark):
-    rows = [(f"http://{'casino' if i % 4 == 0 else 'thing'}{i}.org/",) for i in range(200)] + [(None,)]
-    got = url_filter.label_sample(spark.createDataFrame(rows, "url string"), most=40).collect()
-    assert sorted(r["blocked"] for r in got) == [0] * 20 + [1] * 20
-    assert all(("casino" in r["url"]) == bool(r["blocked"]) for r in got)
+def test_labelled_table_and_accuracy_on_hosts_not_seen(spark):
+    rows = url_labels.labelled_urls(spark)
+    assert 1000 < rows.count() < 4000 and rows.select("url").distinct().count() == rows.count()
+    model = url_filter.train(rows.where("fold <> 0"))
+    got = url_filter.judge(rows.where("fold = 0"), model, rules=()).collect()
+    right = [(r["verdict"] == "block") == bool(r["blocked"]) for r in got]
+    lost = [r["url"] for r in got if r["verdict"] == "block" and not r["blocked"]]
+    caught = [r["verdict"] == "block" for r in got if r["blocked"]]
+    assert sum(right) > 0.97 * len(right) and sum(caught) > 0.9 * len(caught) and len(lost) < 0.02 * len(got), lost
+
+
+def test_pages_whose_hosts_are_in_no_label(spark):
+    """Every page of the small tables that no rule fits: unwanted subjects are blocked, all others allowed."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    seen = {urlsplit(r["url"]).hostname for r in url_labels.labelled_urls(spark).collect()}
+    rows = url_filter.judge(pages, url_filter.train(url_labels.labelled_urls(spark))).where("rule IS NULL").collect()
+    assert rows and not seen & {r["host"] for r in rows}
+    for r in rows:
+        unwanted = any(name in r["host"] for name in ("pills", "casino", "bets", "adult", "spam", "ads-"))
+        assert (r["verdict"] == "block") == unwanted, r["url"]
