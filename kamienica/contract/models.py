@@ -225,9 +225,11 @@ def kernel_features(spark, folder):
 
 @query("model_SVC")
 def model_svc(spark, folder):
-    """Kernel regression of the balance, in thousands, on country and segment, for the held-out customers."""
+    """Kernel regression of the balance, in thousands, on country and segment, for the held-out customers, as on the board but
+    ended at a fall of the objective below 1e-4 of it."""
     train, test = (df.withColumn("label", F.col("label") / 1000) for df in _customers(spark, folder))
-    fitted = kernel.KernelRegressor(keyCol="c_custkey", components=64, tol=1e-4).fit(train)
+    estimator = models.regressors("c_custkey")["SVC"]
+    fitted = estimator.fit(train, {estimator.tol: 1e-4})
     return fitted.transform(test).select("c_custkey", F.round("prediction", 4).alias("prediction"))
 
 
