@@ -134,7 +134,8 @@ def advert_pages(spark, folder):
         F.lit('<script id="__NEXT_DATA__" type="application/json">{"props": {"ad_id": 0, "page": {"ad_price": '), size,
         F.lit(', "other": 1, "security": ["a", "b"], "street": null}}, "ad_id": '), key,
         F.lit(', "poster_type": "'), "p_type", F.lit('"}</script></body></html>'))
-    return table(spark, folder, "part").select(
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    return extract.spread_pages(parts).select(
         F.col("p_partkey").alias("page_id"), F.concat(F.lit("/ad/"), key).alias("url"), html.alias("html"))
 
 

@@ -6,6 +6,7 @@ page into small arrays, everything after it is row-local Catalyst work, so extra
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
@@ -16,6 +17,7 @@ from kamienica.functions import rules
 from kamienica.functions.html import advert_row
 from kamienica.operators.cleanse import MAX_COLUMNS, quoted
 
+PAGES_PER_TASK = 5000  # about a second of parsing
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 _HREF = r"""(?is)<a\s[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
 _PARTS = ("page_id bigint, url string, labels array<string>, values array<string>, address string, "
@@ -57,6 +59,15 @@ def extract_links(pages: DataFrame, include: str = "", exclude: str | None = Non
     return links.withColumn("url", F.concat(F.lit(base), F.col("link")))
 
 
+def spread_pages(rows: DataFrame, per_task: int = PAGES_PER_TASK) -> DataFrame:
+    """The same rows, dealt evenly over tasks of about `per_task`.
+
+    For pages made from a narrow table: its file is one split however many pages it gives. A table that holds the pages
+    themselves comes in splits by size and needs no shuffle.
+    """
+    return rows.repartition(max(1, math.ceil(rows.count() / per_task)))
+
+
 def advert_parts(pages: DataFrame, keep_keys: Iterable[str] = rules.JSON_KEYS) -> DataFrame:
     """One row per page with its labels, values, single texts, JSON fields, or the error."""
     kept = frozenset(keep_keys)

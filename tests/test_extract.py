@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kamienica import schema
+from kamienica.contract.extraction import advert_pages
 from kamienica.functions.html import AdvertParts, json_leaves
 from kamienica.operators import extract
 
@@ -116,3 +117,14 @@ def test_long_forms(spark):
     assert sorted(map(tuple, merged.collect())) == [(1, "a", "y"), (1, "b", "r"), (2, "a", "s")]
     wide = extract.pairs_to_wide(merged, "id", "key", "value", ["a", "b"])
     assert sorted(map(tuple, wide.collect())) == [(1, "y", "r"), (2, "s", None)]
+
+
+def test_pages_of_a_narrow_table_are_parsed_by_many_tasks(spark, tmp_path):
+    """One file of one split, many times as many pages as a task should parse."""
+    part = spark.range(12_000).select(F.col("id").alias("p_partkey"), F.lit("ring").alias("p_name"), F.lit("b").alias("p_brand"),
+                                      F.lit("PROMO").alias("p_type"), (F.col("id") % 50).cast("int").alias("p_size"))
+    part.coalesce(1).write.parquet(str(tmp_path / "part.parquet"))
+    routed = extract.extract_adverts(advert_pages(spark, str(tmp_path)))
+    loads = routed.groupBy(F.spark_partition_id()).agg(F.count("page_id").alias("n"), F.sum("page_id").alias("s")).collect()
+    assert len(loads) == 3 and max(r["n"] for r in loads) < 4200
+    assert sum(r["n"] for r in loads) == 12_000 and sum(r["s"] for r in loads) == 12_000 * 11_999 // 2
