@@ -2,8 +2,6 @@
 
 import uuid
 
-from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from kamienica.contract.registry import query, table
@@ -226,11 +224,10 @@ def sparse_vectors(spark, folder):
     """The same as feature vectors, summed up by Spark ML: how often each token occurs, and in how many documents."""
     docs, dictionary = _document_words(spark, folder)
     vectors = sparse.multi_hot(docs, "doc_id", ["text"], dictionary, separator=" ")
-    sums = vectors.select(Summarizer.metrics("sum", "numNonZeros").summary(F.col("tokens")).alias("s"))
-    by_code = sums.select(F.arrays_zip(vector_to_array("s.sum").alias("total"), vector_to_array("s.numNonZeros").alias("docs"))
-                          .alias("z")).select(F.posexplode("z").alias("code", "z"))
-    return by_code.join(dictionary, "code").select("token", F.round("z.total").cast("bigint").alias("total"),
-                                                   F.round("z.docs").cast("bigint").alias("docs"))
+    by_code = sparse.column_sums(vectors, "tokens")
+    # both sides are as long as the dictionary; what Spark guesses of the sums is too small to go by
+    return by_code.hint("merge").join(dictionary, "code").select("token", F.round("total").cast("bigint").alias("total"),
+                                                                 F.round("docs").cast("bigint").alias("docs"))
 
 
 @query("sparse_one_hot", """

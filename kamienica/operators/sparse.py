@@ -8,9 +8,14 @@ What a row's vector costs is its own tokens, not the width.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +27,8 @@ from kamienica.operators.encode import ROWS_PER_RANGE, category_pairs, with_posi
 from kamienica.session import settle
 
 WIDEST = 2 ** 31 - 1  # places a vector can have
+SLICE = 2 ** 20  # places summed up at a time: a summary takes some 25 bytes for each
+ROWS_PER_SUM = 1_000_000
 PAIRS = "array<struct<code: bigint, n: bigint>>"
 
 
@@ -78,15 +85,20 @@ def one_hot_pairs(df: DataFrame, key: str, columns: Sequence[str], dictionary: D
     return _with_pairs(df.drop(*columns), long, key, dictionary, to)
 
 
+def _sparse(size: int, indices: Column, values: Column) -> Column:
+    """The parts of a sparse vector; written and read back as `VectorUDT`, they are one."""
+    return F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), indices.alias("indices"),
+                    values.alias("values"))
+
+
 def as_vectors(df: DataFrame, columns: dict[str, int]) -> DataFrame:
     """Turn columns of (code, count) into sparse vectors of the given sizes.
 
     The table is written with the parts of the vectors and read back as vectors, so no row goes through Python.
     """
     def parts(pairs: Column, size: int) -> Column:
-        return F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"),
-                        F.transform(pairs, lambda p: p["code"].cast("int")).alias("indices"),
-                        F.transform(pairs, lambda p: p["n"].cast("double")).alias("values"))
+        return _sparse(size, F.transform(pairs, lambda p: p["code"].cast("int")),
+                       F.transform(pairs, lambda p: p["n"].cast("double")))
 
     flat = df.select(*[parts(quoted(c), columns[c]).alias(c) if c in columns else quoted(c) for c in df.columns])
     kinds = T.StructType([T.StructField(f.name, VectorUDT()) if f.name in columns else f for f in df.schema.fields])
@@ -102,3 +114,43 @@ def multi_hot(df: DataFrame, key: str, columns: Sequence[str], dictionary: DataF
 def one_hot(df: DataFrame, key: str, columns: Sequence[str], dictionary: DataFrame, to: str = "categories") -> DataFrame:
     """Replace category columns by one sparse indicator vector, as wide as the dictionary."""
     return as_vectors(one_hot_pairs(df, key, columns, dictionary, to), {to: width(dictionary)})
+
+
+def _cut(size: int):
+    """Cut the entries of every row where its places pass a multiple of `size`."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, indices, values = batch.columns
+            places, numbers = indices.flatten().to_numpy(), values.flatten()
+            row = np.repeat(np.arange(len(own)), indices.value_lengths().to_numpy())
+            of = places // size
+            starts = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(of, prepend=-1) != 0))
+            ends = pa.array(np.append(starts, len(places)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [own.take(pa.array(row[starts])), pa.array(of[starts]), pa.ListArray.from_arrays(ends, pa.array(places % size)),
+                 pa.ListArray.from_arrays(ends, numbers)], names=["part", "slice", "indices", "values"])
+    return run
+
+
+def column_sums(vectors: DataFrame, column: str, size: int = SLICE, rows_per_sum: int = ROWS_PER_SUM) -> DataFrame:
+    """(code, total, docs): sum and number of entries other than zero of every place of sparse vectors that has an entry.
+
+    Spark ML sums up dense, so the vectors are cut into slices of `size` places. A slice is summed over at most about
+    `rows_per_sum` rows by one task; neither a task nor the driver ever holds the whole width.
+    """
+    parts = max(1, math.ceil(vectors.count() / rows_per_sum))
+    whole = F.unwrap_udt(quoted(column))
+    entries = vectors.select(F.pmod(F.monotonically_increasing_id(), F.lit(parts)).cast("int").alias("part"),
+                             whole["indices"].alias("indices"), whole["values"].alias("values"))
+    cut = entries.mapInArrow(_cut(size), "part int, slice int, indices array<int>, values array<double>")
+    kinds = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("slice", T.IntegerType()),
+                          T.StructField("entries", VectorUDT())])
+    slices = settle(cut.select("part", "slice", _sparse(size, F.col("indices"), F.col("values")).alias("entries")), kinds)
+    highest = slices.agg(F.max("slice")).first()[0] or 0
+    # dealt by slice before anything is summed: what a task would add up beforehand is as wide as the slices it meets
+    dealt = slices.repartition(parts * (highest + 1), "part", "slice").groupBy("part", "slice")
+    sums = dealt.agg(Summarizer.metrics("sum", "numNonZeros").summary(F.col("entries")).alias("s"))
+    places = sums.select("slice", F.posexplode(F.arrays_zip(
+        vector_to_array("s.sum").alias("total"), vector_to_array("s.numNonZeros").alias("docs"))).alias("place", "z"))
+    return places.where("z.docs > 0").groupBy((F.col("slice").cast("bigint") * size + F.col("place")).alias("code")).agg(
+        F.sum("z.total").alias("total"), F.sum("z.docs").alias("docs"))

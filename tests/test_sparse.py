@@ -4,6 +4,7 @@ import pytest
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from kamienica.operators import cleanse, dictionaries, sparse
 from kamienica.plans.features import FeatureConfig, build_features
 
@@ -110,3 +111,23 @@ def test_vectors_over_versions_only_get_longer(spark, lists, tmp_path):
     assert sparse.width(new) > sparse.width(old)
     for key, vector in before.items():
         assert after[key].indices.tolist() == vector.indices.tolist() and after[key].values.tolist() == vector.values.tolist()
+
+
+@pytest.mark.parametrize("size, per_sum", [(2 ** 20, 10 ** 6), (7, 10 ** 6), (4, 9), (1, 50)])
+def test_column_sums_in_slices(spark, size, per_sum):
+    rng = np.random.default_rng(6)
+    rows = [(i, ", ".join(rng.choice([f"t{j:02d}" for j in range(30)], int(rng.integers(1, 9))))) for i in range(60)] + [(60, None)]
+    df = spark.createDataFrame(rows, "id int, list string")
+    dictionary = sparse.token_dictionary(cleanse.scan_vocabulary(df, {"list": "t07"}))
+    vectors = sparse.multi_hot(df, "id", ["list"], dictionary, keep_null_lists=True)
+    dense = np.array([r["tokens"].toArray() for r in vectors.collect()])
+    sums = sparse.column_sums(vectors, "tokens", size, per_sum)
+    got = {r["code"]: (round(r["total"], 6), r["docs"]) for r in sums.collect()}
+    assert got == {i: (dense[:, i].sum(), (dense[:, i] > 0).sum()) for i in range(dense.shape[1]) if dense[:, i].any()}
+    assert sparse.column_sums(vectors.limit(0), "tokens", size, per_sum).count() == 0
+
+
+def test_summed_vectors_are_not_held_whole(spark):
+    """No task, and no broadcast from the driver, takes sums as wide as the dictionary."""
+    plan = queries()["sparse_vectors"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "aggregate_metrics" in plan and "keys=[]" not in plan and "BroadcastHashJoin" not in plan
