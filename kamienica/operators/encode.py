@@ -11,12 +11,57 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kamienica.functions import text
 from kamienica.operators.cleanse import MAX_COLUMNS, quoted
 from kamienica.session import settle
 
 ROWS_PER_RANGE = 1_000_000
+MOST_RANGES = 500  # of one shuffle
+KEY_CHARS = 64  # characters of a text that ranges are cut by, at first
+_SAMPLED = 100 * MOST_RANGES * KEY_CHARS  # characters that Spark looks at on the driver: a hundred rows a range
+_LONG = 4  # a range is long if it has this many times the rows of the mean
+
+
+def _shortened(df: DataFrame, order: Sequence[Column | str], chars: int) -> tuple[list[Column | str], Column]:
+    """An order of the rows that looks at no more than `chars` characters of a text, and whether it leaves out any of a row.
+
+    Rows in it are in the order given or equal: texts that go on come behind the one that ends there, and what would be
+    compared after them is not looked at.
+    """
+    keys: list[Column | str] = []
+    more = None
+    for by in order:
+        if isinstance(by, str) and df.schema[by].dataType == T.StringType():
+            start, goes_on = F.substring(quoted(by), 1, chars), F.coalesce(F.length(quoted(by)) > chars, F.lit(False))
+            keys += [start, goes_on] if more is None else [F.when(~more, start), F.when(~more, goes_on)]
+            more = goes_on if more is None else more | goes_on
+        elif more is None:
+            keys.append(by)
+        elif isinstance(by, str):
+            keys.append(F.when(~more, quoted(by)))
+        else:
+            return keys, F.lit(True)
+    return keys, F.lit(False) if more is None else more
+
+
+def _ranges(rows: DataFrame, order: Sequence[Column | str], ranges: int, total: int) -> DataFrame:
+    """The rows with the number of the range of the order they are in, written.
+
+    Spark samples what it cuts by on the driver, so texts are shortened for it. Where many rows start alike a range gets long;
+    then more of the texts is looked at, and as much fewer ranges are cut, as long as that makes the longest shorter.
+    """
+    chars = KEY_CHARS
+    while True:
+        keys, more = _shortened(rows, order, chars)
+        cut = settle(rows.repartitionByRange(ranges, *keys).withColumn("_range", F.spark_partition_id()))
+        longest = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("n"), F.count_if(more).alias("more")).orderBy(
+            F.desc("n")).first()
+        chars *= 8
+        ranges = min(ranges, _SAMPLED // (100 * chars))
+        if not longest["more"] or ranges < 2 or longest["n"] * ranges <= _LONG * total:
+            return cut
 
 
 def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "code",
@@ -24,14 +69,14 @@ def with_position(df: DataFrame, order: Sequence[Column | str], name: str = "cod
     """Number rows 0, 1, 2 … in the order given, which must be unique.
 
     Few rows are numbered by one window. More are cut into ranges of the order; each range is numbered on its
-    own and shifted by the sizes of the ranges before it, so no task sees more than about one range.
+    own and shifted by the sizes of the ranges before it, so no task sees more than about one range, or than a part in
+    `MOST_RANGES` of the rows.
     """
     rows = settle(df)
     total = rows.count()
     if total <= rows_per_range:
         return rows.withColumn(name, (F.row_number().over(Window.orderBy(*order)) - 1).cast("bigint"))
-    ranges = math.ceil(total / rows_per_range)
-    cut = settle(rows.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    cut = _ranges(rows, order, min(math.ceil(total / rows_per_range), MOST_RANGES), total)
     sizes = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

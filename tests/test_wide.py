@@ -3,9 +3,10 @@ import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from kamienica.functions.keywords import Automaton
-from kamienica.operators import cleanse, gram, outliers
+from kamienica.operators import cleanse, encode, gram, outliers
 
 
 @settings(max_examples=80, deadline=None)
@@ -63,3 +64,33 @@ def test_no_rows_and_no_values(spark):
     empty = spark.createDataFrame([], "a double, b double, c double")
     assert all(r["r"] is None for r in gram.correlation_pairs(empty, empty.columns).collect())
     assert outliers.correlated_columns(empty, 0.5, narrow=0) == []
+
+
+def test_positions_of_wide_texts_are_cut_by_short_keys(spark, monkeypatch):
+    """Spark takes the keys it cuts ranges by to the driver, a hundred for each range."""
+    calls, given = [], type(spark.range(1)).repartitionByRange
+
+    def watched(df, ranges, *keys):
+        widest = df.select(F.length(F.to_json(F.struct(*[F.col(k) if isinstance(k, str) else k for k in keys]))).alias("n"))
+        calls.append((ranges, widest.agg(F.max("n")).first()[0]))
+        return given(df, ranges, *keys)
+
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", watched)
+    monkeypatch.setattr(encode, "MOST_RANGES", 20)
+    rows = spark.range(300).select(F.concat(F.sha2(F.col("id").cast("string"), 256), F.repeat(F.lit("x"), 20_000)).alias("t"))
+    got = [r["t"] for r in encode.with_position(rows, ["t"], rows_per_range=5).orderBy("code").select("t").collect()]
+    assert got == sorted(got) and len(got) == 300
+    assert calls and all(ranges <= 20 and width < 200 for ranges, width in calls)
+
+
+ALIKE = [("a" * n, "a" * m, i) for n in (0, 1, 63, 64, 65, 600) for m in (0, 64, 65, 70) for i in (1, 2)]
+
+
+@pytest.mark.parametrize("per_range", [1, 7])
+def test_positions_of_texts_that_start_alike(spark, per_range):
+    rows = ALIKE + [(None, "z" * 80, 1), ("b", None, 3), ("ż" * 65, "", 1)] + [("x" * 3000 + f"{i:03d}", "", i) for i in range(90)]
+    df = spark.createDataFrame(rows, "s string, t string, i int").repartition(5)
+    got = encode.with_position(df, ["s", "t", "i"], rows_per_range=per_range).orderBy("code").collect()
+    assert [r["code"] for r in got] == list(range(len(rows)))
+    want = sorted(rows, key=lambda r: tuple((x is not None, x.encode() if isinstance(x, str) else x) for x in r))
+    assert [(r["s"], r["t"], r["i"]) for r in got] == want
