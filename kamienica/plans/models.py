@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -25,8 +26,10 @@ from kamienica.operators.neighbours import KNNRegressor
 from kamienica.operators.network import NetworkRegressor
 from kamienica.operators.scale import with_fold
 from kamienica.operators.sgd import SGDRegressor
+from kamienica.session import settle
 
 SEED = 123
+ROWS_PER_TASK = 50_000
 DEEP_EXTRA = 10  # extra trees are held in memory as whole levels
 DEEPEST = 30  # the deepest trees Spark grows; the compared models have no limit of their own
 
@@ -66,8 +69,13 @@ class Run:
 
 def compare_models(train: DataFrame, estimators: Mapping[str, Estimator], key: str, folds: int = 5,
                    seed: int = SEED, parallelism: int = 2) -> list[Run]:
-    """Cross-validate and refit every estimator; a row's fold depends on its key only."""
-    with_folds = with_fold(train, key, folds, seed)
+    """Cross-validate and refit every estimator; a row's fold depends on its key only.
+
+    The rows are written once, dealt over tasks: every fold of every model goes over them many times, and those of a narrow
+    table would all come in one split.
+    """
+    tasks = max(1, math.ceil(train.count() / ROWS_PER_TASK))
+    with_folds = settle(with_fold(train, key, folds, seed).repartition(tasks))
     runs = []
     for name, estimator in estimators.items():
         validator = CrossValidator(
