@@ -57,7 +57,9 @@ def _sums(pairs: list[tuple[int, int]], spans: dict[int, slice]):
             for p, q in pairs:
                 if some[p] and some[q]:
                     a, b, ma, mb = x[:, spans[p]], x[:, spans[q]], m[:, spans[p]], m[:, spans[q]]
-                    new = np.stack([ma.T @ mb, a.T @ mb, ma.T @ b, (a * a).T @ mb, ma.T @ (b * b), a.T @ b])
+                    once = [ma.T @ mb, a.T @ mb, (a * a).T @ mb, a.T @ b]
+                    other = [once[1].T, once[2].T] if p == q else [ma.T @ b, ma.T @ (b * b)]
+                    new = np.stack([once[0], once[1], other[0], once[2], other[1], once[3]])
                     total[p, q] = new if (p, q) not in total else total[p, q] + new
         for (p, q), sums in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([q], pa.int32()), pa.array([sums.tobytes()])],
