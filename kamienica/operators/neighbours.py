@@ -6,12 +6,15 @@ distance it gets there bounds the search, and only cells whose bounding box is w
 Nothing is capped: a cell is skipped only when it provably holds no nearer donor.
 
 Cells are small tables joined by their path; which join is used is Spark's choice by size. Within a task, one
-cell of donors meets one chunk of queries, so a crowded cell becomes many tasks rather than a long one.
+cell of donors meets one chunk of queries, so a crowded cell becomes many tasks rather than a long one. There, too,
+only what may be near enough is measured: points of few dimensions are cut into leaves with boxes of their own, of
+wider ones the squared distances are first taken from one matrix product, whose rounding is allowed for.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +36,8 @@ from kamienica.session import settle
 CELL_ROWS = 4096
 _TOLERATED = 4
 CHUNK_ROWS = 4096
+_LEAF = 64
+_BLOCK = 4_000_000  # numbers held at a time
 _FAN = 64
 # Cells up to this number are counted in a table of a few megabytes, which every executor may hold.
 _FEW_CELLS = 100_000
@@ -133,14 +138,120 @@ def _nearest_edge(width: int) -> Column:
                                    F.col("point")[i] - F.col("high")[i], F.lit(0.0)) for i in range(width)])
 
 
+def _measured(at: np.ndarray, have: np.ndarray) -> np.ndarray:
+    """Squared distances, one column of both after the other, so that all ways to get there round alike."""
+    total = np.zeros(np.broadcast_shapes(at.shape, have.shape)[:-1])
+    for i in range(at.shape[-1]):
+        total += (at[..., i] - have[..., i]) ** 2
+    return total
+
+
+def _kth(d2: np.ndarray, k: int) -> np.ndarray:
+    return np.partition(d2, k - 1, axis=1)[:, k - 1]
+
+
+_Near = Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _of_all(at: np.ndarray, have: np.ndarray, wanted: int, limit: np.ndarray) -> _Near:
+    """(query, donor, squared distance) of the `wanted` nearest donors and of their equals, by blocks of queries. So do the
+    two below; they leave out what is beyond the query's limit, and may find more."""
+    rows = max(1, _BLOCK // len(have))
+    for start in range(0, len(at), rows):
+        d2 = _measured(at[start:start + rows, None], have[None])
+        q, d = np.nonzero(d2 <= _kth(d2, wanted)[:, None])
+        yield start + q, d, d2[q, d]
+
+
+def _of_products(at: np.ndarray, have: np.ndarray, wanted: int, limit: np.ndarray) -> _Near:
+    """|a - b|² = |a|² + |b|² - 2ab from a matrix product; what that cannot tell to be farther is measured."""
+    middle = have.mean(axis=0)
+    a, b = at - middle, have - middle
+    aa, bb = (a * a).sum(axis=1), (b * b).sum(axis=1)
+    rounding = 8 * (at.shape[1] + 8) * np.finfo(float).eps * (
+        np.sqrt(aa) + math.sqrt(bb.max()) + np.abs(middle).max() + np.abs(at).max(axis=1)) ** 2
+    rows = max(1, _BLOCK // len(have))
+    for start in range(0, len(at), rows):
+        here = slice(start, start + rows)
+        rough = a[here] @ b.T
+        rough *= -2
+        rough += bb
+        bound = limit[here] - aa[here]
+        loose = (rough <= (bound + rounding[here])[:, None]).sum(axis=1) > 4 * wanted
+        if loose.any():
+            bound[loose] = np.minimum(bound[loose], _kth(rough[loose], wanted) + rounding[here][loose])
+        q, d = np.nonzero(rough <= (bound + rounding[here])[:, None])
+        for part in range(0, len(q), rows * 64):
+            qs, ds = start + q[part:part + rows * 64], d[part:part + rows * 64]
+            yield qs, ds, _measured(at[qs], have[ds])
+
+
+def _leaves(have: np.ndarray) -> np.ndarray:
+    """Places of the points in leaves of `_LEAF`, halved again and again along the widest dimension; -1 where none is left."""
+    halvings = math.ceil(math.log2(max(1.0, len(have) / _LEAF)))
+    places = np.full((1, _LEAF * 2 ** halvings), -1)
+    places[0, :len(have)] = np.arange(len(have))
+    for _ in range(halvings):
+        points = np.where(places[..., None] >= 0, have[places], np.nan)
+        with np.errstate(invalid="ignore"):
+            spread = np.fmax.reduce(points, axis=1) - np.fmin.reduce(points, axis=1)
+        axis = np.nan_to_num(spread, nan=-1.0).argmax(axis=1)
+        along = np.take_along_axis(points, axis[:, None, None], axis=2)[..., 0]
+        order = np.argsort(along, axis=1, kind="stable")  # nan, no point, comes last
+        places = np.take_along_axis(places, order, axis=1).reshape(2 * len(places), -1)
+    return places[(places >= 0).any(axis=1)]
+
+
+def _of_leaves(at: np.ndarray, have: np.ndarray, wanted: int, limit: np.ndarray) -> _Near:
+    """Looks into the leaves whose box is within the limit, or as near as the donors of the nearest leaf."""
+    places = _leaves(have)
+    none = places < 0
+    points = np.where(none[..., None], np.inf, have[places])
+    low, high = points.min(axis=1), np.where(none[..., None], -np.inf, points).max(axis=1)
+    full = (~none).sum(axis=1) >= wanted
+    rows = max(1, _BLOCK // (4 * max(len(places), _LEAF)))
+    for start in range(0, len(at), rows):
+        block = at[start:start + rows]
+        edge = np.zeros((len(block), len(places)))
+        for i in range(at.shape[1]):
+            x = block[:, i, None]
+            edge += np.maximum(np.maximum(low[:, i] - x, x - high[:, i]), 0.0) ** 2
+        home = np.where(full, edge, np.inf).argmin(axis=1)
+        bound = np.minimum(limit[start:start + rows], _kth(_measured(block[:, None], points[home]), wanted))
+        q, leaf = np.nonzero(edge <= (bound * _SLACK)[:, None])
+        step = _BLOCK // (4 * _LEAF)
+        for part in range(0, len(q), step):
+            qs, ls = q[part:part + step], leaf[part:part + step]
+            d2 = _measured(block[qs, None], points[ls])
+            pair, nth = np.nonzero((d2 <= (bound * _SLACK)[qs, None]) & ~none[ls])
+            yield start + qs[pair], places[ls[pair], nth], d2[pair, nth]
+
+
+def _nearest_rows(at: np.ndarray, have: np.ndarray, wanted: int, limit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, donor, squared distance), by query and distance: up to `wanted` donors of each query, of equally near ones the
+    first. Donors beyond a query's limit may be left out."""
+    plain = np.isfinite(at).all() and np.isfinite(have).all() and max(np.abs(at).max(), np.abs(have).max()) < 1e150
+    if not plain or len(have) <= 4 * max(_LEAF, wanted):
+        ways = _of_all
+    else:
+        ways = _of_leaves if at.shape[1] <= _NARROW else _of_products
+    q, d, d2 = (np.concatenate(parts) for parts in zip(*ways(at, have, wanted, limit), (
+        np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))))
+    order = np.lexsort((d, d2, q))
+    q, d, d2 = q[order], d[order], d2[order]
+    near = np.arange(len(q)) - np.searchsorted(q, q) < wanted
+    return q[near], d[near], d2[near]
+
+
 def _search(visits: DataFrame, donors: DataFrame, width: int, k: int, few_cells: bool) -> DataFrame:
-    """The k nearest donors of the visited cell, for every (query, cell) of `visits`."""
+    """The k nearest donors of the visited cell, for every (query, cell) of `visits`; those beyond `limit2` may be
+    left out."""
     axes = [f"x{i}" for i in range(width)]
     flat = [F.col("point")[i].alias(x) for i, x in enumerate(axes)]  # plain columns cross to Python faster
     chunks = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / CHUNK_ROWS).cast("int").alias("chunks"))
     if few_cells:
         chunks = F.broadcast(chunks)
-    asked = visits.select("query", "cell", *flat).join(chunks, "cell").withColumn(
+    asked = visits.select("query", "cell", "limit2", *flat).join(chunks, "cell").withColumn(
         "chunk", F.pmod(F.xxhash64("query"), F.col("chunks")).cast("int")).drop("chunks")
     offered = donors.join(chunks, "cell").select(
         "donor", "value", "cell", *flat,
@@ -151,32 +262,15 @@ def _search(visits: DataFrame, donors: DataFrame, width: int, k: int, few_cells:
             return pd.DataFrame({"query": queries["query"].iloc[:0], "donor": cell["donor"].iloc[:0],
                                  "value": np.zeros(0), "d2": np.zeros(0)})
         cell = cell.sort_values("donor", kind="stable")
-        at, have = queries[axes].to_numpy(), cell[axes].to_numpy()
-        keys, donor_keys, donor_values = (queries["query"].to_numpy(), cell["donor"].to_numpy(),
-                                          cell["value"].to_numpy())
-        wanted, rows = min(k, len(have)), max(1, 4_000_000 // len(have))
-        found = []
-        for start in range(0, len(at), rows):
-            block = at[start:start + rows]
-            d2 = np.zeros((len(block), len(have)))
-            for i in range(at.shape[1]):
-                d2 += (block[:, i, None] - have[None, :, i]) ** 2
-            edge = np.partition(d2, wanted - 1, axis=1)[:, wanted - 1]
-            q, d = np.nonzero(d2 <= edge[:, None])  # ties at the edge are in; donors come in key order
-            order = np.lexsort((d, d2[q, d], q))
-            q, d = q[order], d[order]
-            place = np.arange(len(q)) - np.searchsorted(q, q)
-            q, d = q[place < wanted], d[place < wanted]
-            found.append(pd.DataFrame({"query": keys[start + q], "donor": donor_keys[d],
-                                       "value": donor_values[d], "d2": d2[q, d]}))
-        return pd.concat(found)
+        q, d, d2 = _nearest_rows(queries[axes].to_numpy(), cell[axes].to_numpy(), min(k, len(cell)), queries["limit2"].to_numpy())
+        return pd.DataFrame({"query": queries["query"].to_numpy()[q], "donor": cell["donor"].to_numpy()[d],
+                             "value": cell["value"].to_numpy()[d], "d2": d2})
 
     schema = T.StructType([
         T.StructField("query", visits.schema["query"].dataType),
         T.StructField("donor", donors.schema["donor"].dataType),
         T.StructField("value", T.DoubleType()), T.StructField("d2", T.DoubleType())])
-    return asked.groupBy("cell", "chunk").cogroup(offered.groupBy("cell", "chunk")).applyInPandas(
-        nearest_in_cell, schema)
+    return asked.groupBy("cell", "chunk").cogroup(offered.groupBy("cell", "chunk")).applyInPandas(nearest_in_cell, schema)
 
 
 def nearest(queries: DataFrame, donors: DataFrame, width: int, k: int = 5,
@@ -209,7 +303,7 @@ def nearest(queries: DataFrame, donors: DataFrame, width: int, k: int = 5,
         ).drop("n", "low", "high")
     if len(levels) > 2:
         own = settle(own)
-    found = _search(own, placed, width, k, few_cells)
+    found = _search(own.withColumn("limit2", F.lit(float("inf"))), placed, width, k, few_cells)
 
     if len(levels) > 1:
         found = settle(found)

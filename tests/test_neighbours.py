@@ -3,6 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from kamienica.operators import neighbours
 from kamienica.operators.neighbours import knn_impute, knn_regress, nearest
 
 
@@ -95,3 +96,22 @@ def test_regress(spark):
     for i in range(20):
         ranked = sorted(((i % 7 - j % 7) ** 2 + (i % 11 - j % 11) ** 2, j) for j in range(20, 60))[:3]
         assert got[i] == pytest.approx(sum(j for _, j in ranked) / 3)
+
+
+@pytest.mark.parametrize("kind", ["uniform", "hot", "outlier", "indicator"])
+@pytest.mark.parametrize("width", [1, 2, 4, 5, 40])
+def test_cell_search_measures_few_pairs(kind, width, monkeypatch):
+    """The same rows as by measuring every pair of a cell, from a part of the pairs."""
+    have, at = np.unique(clouds(kind, 1500, width, 3), axis=0), clouds(kind, 200, width, 4)
+    d2 = ((at[:, None] - have[None]) ** 2).sum(axis=2) if width == 1 else sum((at[:, None, i] - have[None, :, i]) ** 2 for i in range(width))
+    order = np.argsort(d2, axis=1, kind="stable")[:, :5]
+    measured, given = [], neighbours._measured
+    monkeypatch.setattr(neighbours, "_measured", lambda a, b: measured.append(given(a, b)) or measured[-1])
+    for limit in (np.full(200, np.inf), np.take_along_axis(d2, order, axis=1)[:, -1]):
+        measured.clear()
+        k = min(5, len(have))
+        q, d, got = neighbours._nearest_rows(at, have, k, limit)
+        assert np.array_equal(q, np.repeat(np.arange(200), k)) and np.array_equal(d, order.ravel())
+        assert np.array_equal(got, np.take_along_axis(d2, order, axis=1).ravel())
+        if kind == "uniform":
+            assert sum(m.size for m in measured) < 200 * len(have) / 2
