@@ -40,3 +40,11 @@ def test_fold_scores_equal_a_hand_written_loop(train):
         fitted = LinearRegression().fit(folded.where(f"fold <> {fold}"))
         scores.append(models.r2(fitted.transform(folded.where(f"fold = {fold}"))))
     assert run.mean_r2 == pytest.approx(np.mean(scores))
+
+
+def test_compared_rows_of_one_split_are_dealt_over_tasks(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models, "ROWS_PER_TASK", 100)
+    monkeypatch.setattr(models, "settle", lambda df: seen.append(df.rdd.getNumPartitions()) or df)
+    models.compare_models(spark.range(1000).coalesce(1), {}, "id")
+    assert seen == [10]
